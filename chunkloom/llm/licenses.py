@@ -39,6 +39,10 @@ TEMPLATES = (
 )
 
 
+#: Words that choose badly as anchors.
+COMMON = frozenset("a an and any are as at be by can for from he in is it not of on or other over she so that the their them then there these they this those to under was were which who will with you your".split())
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
 
@@ -59,14 +63,14 @@ def _split(text: str) -> list[str]:
 
 
 def anchors(templates: tuple[tuple[str, str], ...], size: int = SHINGLE) -> list[str]:
-    """Words, long ones first, so that each template's every shingle holds one."""
+    """Words so that each template's every shingle holds one: long and uncommon ones where there is a choice."""
     found: set[str] = set()
     for _, text in templates:
         own = _split(text)
         for i in range(max(1, len(own) - size + 1)):
             shingle = own[i : i + size]
             if shingle and not found.intersection(shingle):
-                found.add(max(shingle, key=lambda w: (len(w), w)))
+                found.add(max(shingle, key=lambda w: (w not in COMMON, len(w), w)))
     return sorted(found)
 
 
@@ -83,13 +87,22 @@ def matches(documents: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPL
     spark = documents.sparkSession
     table = template_table(spark, templates, bands)
     spans = sorted({1 << (max(1, len(_split(t)) - SHINGLE + 1) - 1).bit_length() for _, t in templates if _split(t)})
-    sought = F.array(*[F.lit(a) for a in anchors(templates)])
-    held = documents.select("doc_id", words(F.col("text")).alias("words")).where(F.arrays_overlap("words", sought))
+    sought = anchors(templates)
+    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(sought), i)), lambda i: i.isNotNull())
+    split = documents.select("doc_id", words(F.col("text")).alias("words"))
+    held = split.select("doc_id", "words", places.alias("places")).where(F.size("places") > 0)
 
     def windows(span: int) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - SHINGLE), F.lit(span))
-        cut = F.transform(starts, lambda i: F.struct(F.lit(span).alias("span"), i.alias("at"), F.slice(F.col("words"), i + 1, F.lit(2 * span + SHINGLE - 1)).alias("own")))
-        return F.filter(cut, lambda w: F.arrays_overlap(w["own"], sought))
+        """The windows of 2 * span shingles that hold an anchor."""
+        length = 2 * span + SHINGLE - 1
+        last = F.floor(F.greatest(F.lit(0), F.size("words") - SHINGLE) / span).cast("int")
+        numbers = F.transform(
+            "places", lambda p: F.sequence(F.greatest(F.lit(0), F.least(last, F.ceil((p - length + 1) / span).cast("int"))), F.least(last, F.floor(p / span).cast("int")))
+        )
+        return F.transform(
+            F.array_distinct(F.flatten(numbers)),
+            lambda k: F.struct(F.lit(span).alias("span"), (k * span).alias("at"), F.slice(F.col("words"), k * span + 1, F.lit(length)).alias("own")),
+        )
 
     every = held.select("doc_id", F.explode(F.concat(*[windows(s) for s in spans])).alias("w")).select("doc_id", "w.span", "w.at", shingles(F.col("w.own")).alias("window"))
     hashed = every.select("doc_id", "span", "at", "window", F.explode(minima(F.col("window"), bands)).alias("m"))

@@ -7,7 +7,8 @@ clause raises what is left. The score of a document is a logistic function of th
 an isolated word counts less than one aimed at somebody.
 
 Insults are a fixed list plus terms learned from labels: words, and word beginnings of 4 to 6 characters (so that
-inflected forms of one stem share a weight), whose use in toxic documents a likelihood-ratio test sets apart.
+inflected forms of one stem share a weight), whose use in toxic documents a likelihood-ratio test sets apart. Copies
+and near copies count once there, so that the other words of a text with many copies are not taken for insults.
 
 Null and empty texts match nothing and get the score of the intercept. Texts are read whole.
 """
@@ -25,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkloom.llm import kernels as K
 from chunkloom.llm.common import bounded_batches
+from chunkloom.llm.jaccard import token_sets
 from chunkloom.llm.labelled import id_remainder, training_sample
 
 #: Labelled rows that training takes at most, and learned terms at most.
@@ -33,6 +36,10 @@ TRAINING_ROWS = 8000
 TERMS = 2000
 #: Least likelihood-ratio statistic (one degree of freedom), log odds and toxic documents of a learned term.
 LEAST_RATIO, LEAST_ODDS, LEAST_DOCS = 40.0, 2.0, 6
+#: Least share of toxic documents among those with a learned term.
+LEAST_SHARE = 0.9
+#: Minimum hashes of word triples by which near copies are told; documents that share one count once.
+COPIES = 4
 NEGATION_REACH = 3
 
 # Fixed word lists.
@@ -128,14 +135,32 @@ def features(text: str | None, found: ahocorasick.Automaton | None) -> np.ndarra
     return np.append(np.log1p(out[:4]), float(out[0] + out[1] > 0))
 
 
+def _minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least hash of the word triples of each text for COPIES seeds; texts without words are left out."""
+    for batch in batches:
+        data, offsets = K.column(batch["text"])
+        own = [t for i, j in K.slices(offsets) for t in token_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], 3)]
+        kept = [i for i, t in enumerate(own) if len(t)]
+        least = [[int(K.mix(own[i] + np.uint64(k + 1)).min().view(np.int64)) for i in kept] for k in range(COPIES)]
+        yield pa.RecordBatch.from_arrays(
+            [batch["label"].take(pa.array(kept, pa.int64())), batch["text"].take(pa.array(kept, pa.int64())), *[pa.array(m, pa.int64()) for m in least]],
+            ["label", "text", *[f"m{k}" for k in range(COPIES)]],
+        )
+
+
 def _learned(sample: DataFrame) -> list[tuple[str, bool, str, float]]:
     """Terms set apart by the labels of sample (text, label); at most TERMS rows reach the driver."""
+    sample = sample.mapInArrow(_minima, "label int, text string, " + ", ".join(f"m{k} long" for k in range(COPIES)))
+    for k in range(COPIES):
+        sample = sample.dropDuplicates([f"m{k}", "label"])
+    sample = sample.select("label", "text").persist()
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))
     begins = F.flatten(F.transform(words, lambda w: F.transform(F.filter(F.array(*[F.lit(k) for k in (4, 5, 6)]), lambda k: F.length(w) > k), lambda k: F.concat(F.substring(w, F.lit(1), k), F.lit("*")))))
     terms = sample.select("label", F.explode(F.array_distinct(F.concat(F.filter(words, lambda w: F.length(w) >= 3), begins))).alias("term"))
     totals = sample.agg(F.sum("label").alias("p"), F.count("*").alias("n")).first()
     toxic, rows = totals["p"] or 0, totals["n"]
     if not toxic or toxic == rows:
+        sample.unpersist()
         return []
     counts = terms.groupBy("term").agg(F.sum("label").alias("k"), F.count("*").alias("m")).where(F.col("k") >= LEAST_DOCS)
     base = toxic / rows
@@ -143,9 +168,18 @@ def _learned(sample: DataFrame) -> list[tuple[str, bool, str, float]]:
     ratio = 2 * (F.col("k") * F.log(F.col("k") / (F.col("m") * base)) + F.when(rest > 0, rest * F.log(rest / (F.col("m") * (1 - base)))).otherwise(0.0))
     odds = F.log((F.col("k") + 0.5) / (toxic - F.col("k") + 0.5)) - F.log((rest + 0.5) / (rows - toxic - rest + 0.5))
     found = counts.select("term", ratio.alias("ratio"), odds.alias("odds"), (F.col("k") / F.col("m")).alias("share")).where(
-        (F.col("ratio") >= LEAST_RATIO) & (F.col("odds") >= LEAST_ODDS) & (F.col("share") >= 0.5)
+        (F.col("ratio") >= LEAST_RATIO) & (F.col("odds") >= LEAST_ODDS) & (F.col("share") >= LEAST_SHARE)
     )
-    return [(r["term"].rstrip("*"), not r["term"].endswith("*"), "insult", min(6.0, r["odds"])) for r in found.orderBy(F.desc("ratio"), "term").limit(TERMS).collect()]
+    rows = found.orderBy(F.desc("ratio"), "term").limit(TERMS).collect()
+    sample.unpersist()
+    stems: list[str] = []
+    out = []
+    for r in sorted(rows, key=lambda r: (len(r["term"]), r["term"])):
+        term, stem = r["term"].rstrip("*"), r["term"].endswith("*")
+        if not any(term.startswith(s) for s in stems):
+            out.append((term, not stem, "insult", min(6.0, r["odds"])))
+            stems += [term] * stem
+    return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
