@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
+from chunkloom.jobs import geometry, graphs, labels, order, planning, statistics
+from chunkloom.streaming import slabs
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+for _module in (labels, graphs, geometry, statistics, order, planning, slabs):
+    QUERIES |= _module.JOBS.queries
+    ORACLE_SQL |= _module.JOBS.sql
