@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from chunkloom.functions.scratch import cut
+
 MAX_BATCH_ROWS = 1000
-MAX_BATCH_BYTES = 16 << 20
+MAX_BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,21 +26,6 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-            base = tempfile.mkdtemp(prefix="spark-")
-        else:
-            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/chunkloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return cut(df, name)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C13)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))

@@ -42,7 +42,7 @@ def features(data: np.ndarray, bounds: np.ndarray, bits: int = BITS) -> tuple[np
     starts, ends = K.spans(data, bounds, K.TOKENS)
     words = K.span_hashes(data, starts, ends)
     row = np.searchsorted(bounds, starts, "right") - 1
-    total = np.zeros((3, len(data) + 1), np.int64)
+    total = np.zeros((3, len(data) + 1), np.int32)
     np.cumsum((data >= 65) & (data <= 90), out=total[0, 1:])
     np.cumsum((data >= 48) & (data <= 57), out=total[1, 1:])
     np.cumsum(K.TOKENS[data] == 2, out=total[2, 1:])
