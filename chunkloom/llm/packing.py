@@ -31,7 +31,7 @@ CAPACITY = 2048
 END_ID = 1
 RANKED = 100_000
 #: Entries of the per-task word cache.
-CACHE = 600_000
+CACHE = 400_000
 
 # The vocabulary's own rules for cutting text into words, for characters below U+0250.
 _BLANK = r"\t-\r \x85\xa0"
