@@ -89,3 +89,26 @@ def combined_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("fixed", "moving").agg(
         (F.sum(F.col("score") * F.col("shift")) / F.sum("score")).alias("shift"), F.sum("score").alias("weight"), (F.max("shift") - F.min("shift")).alias("spread")
     )
+
+
+@JOBS.add(
+    """also links as (select distinct fixed, moving from edges where accepted and (fixed + moving) % 23 = 0), both_ways as (select fixed, moving from links union select moving, fixed from links),
+reach(node, depth) as (select 0::bigint, 0 union select moving, depth + 1 from reach join both_ways on fixed = node where depth < 24)
+select node, min(depth) as depth from reach group by 1""",
+    "edges",
+)
+def anchor_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = A.edges(spark, sf_dir)
+    return G.depths(edges.where((F.col("fixed") + F.col("moving")) % 23 == 0), 0)
+
+
+JOBS.sql["anchor_depths"] = JOBS.sql["anchor_depths"].replace("with edges", "with recursive edges", 1)
+
+
+@JOBS.add(
+    """also sums as (select axis, tile, sum(score)::bigint as weight from (select axis, fixed as tile, score from edges where accepted union all select axis, moving, score from edges where accepted) group by 1, 2)
+select axis, tile, weight from sums qualify row_number() over (partition by axis order by weight desc, tile) = 1""",
+    "edges",
+)
+def anchor_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.anchors(A.edges(spark, sf_dir))

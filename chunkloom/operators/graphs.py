@@ -75,3 +75,29 @@ def degrees(edges: DataFrame) -> DataFrame:
 def with_overrides(edges: DataFrame, overrides: DataFrame) -> DataFrame:
     """edges with (fixed, moving, accept) laid over the measured decision."""
     return edges.join(overrides, ["fixed", "moving"], "left").withColumn("accepted", F.coalesce("accept", "accepted")).drop("accept")
+
+
+def depths(edges: DataFrame, anchor: int, most: int = ROUNDS) -> DataFrame:
+    """(node, depth): tiles that accepted edges reach from the anchor, by the fewest edges.
+
+    One round a depth: the frontier's neighbours that are not yet known.
+    """
+    kept = edges.where("accepted")
+    links = cut(kept.select("fixed", "moving").union(kept.select("moving", "fixed")).distinct())
+    spark = edges.sparkSession
+    known = frontier = spark.range(1).select(F.lit(anchor).cast("long").alias("node"), F.lit(0).alias("depth"))
+    for depth in range(1, most):
+        near = links.join(frontier, links["fixed"] == frontier["node"]).select(F.col("moving").alias("node")).distinct()
+        frontier = cut(near.join(known.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
+        if frontier.limit(1).count() == 0:
+            break
+        known = cut(known.union(frontier))
+    return known
+
+
+def anchors(edges: DataFrame) -> DataFrame:
+    """(axis, tile, weight): the tile with the greatest sum of accepted scores along each axis, the least at ties."""
+    kept = edges.where("accepted")
+    both = kept.select("axis", F.col("fixed").alias("tile"), "score").union(kept.select("axis", "moving", "score"))
+    sums = both.groupBy("axis", "tile").agg(F.sum("score").alias("weight"))
+    return sums.groupBy("axis").agg(F.max(F.struct("weight", (-F.col("tile")).alias("k"))).alias("m")).select("axis", (-F.col("m.k")).alias("tile"), "m.weight")
