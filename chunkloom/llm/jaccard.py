@@ -174,8 +174,8 @@ def linked(a: np.ndarray, b: np.ndarray, least: int = LEAST, of: int = OF) -> bo
     return of * common >= least * (len(a) + len(b) - common)
 
 
-def spanning_links(tokens: list[np.ndarray], side: np.ndarray | None = None, least: int = LEAST, of: int = OF) -> list[tuple[int, int]]:
-    """Links that join the components of the given sets; with side, components may also join over other pairs."""
+def spanning_links(tokens: list[np.ndarray], least: int = LEAST, of: int = OF) -> list[tuple[int, int]]:
+    """Links that join the components of the given sets: each set is compared until it is reached."""
     n = len(tokens)
     lengths = np.array([len(t) for t in tokens])
     bits = np.stack([parity_bits(t) for t in tokens])
@@ -247,7 +247,7 @@ def links(documents: DataFrame, classes: DataFrame, least: int = LEAST, of: int
         edges = np.flatnonzero(np.append(True, root[order][1:] != root[order][:-1]))
         for a, b in zip(edges, np.append(edges[1:], len(order))):
             at = order[a:b]
-            found += [(node[at[i]], node[at[j]]) for i, j in spanning_links([own[x] for x in at], None, least, of)]
+            found += [(node[at[i]], node[at[j]]) for i, j in spanning_links([own[x] for x in at], least, of)]
         return pa.table([pa.array([int(x) for x, _ in found], pa.int64()), pa.array([int(y) for _, y in found], pa.int64())], names=["a", "b"])
 
     return work.groupBy("bin", "one", "two").applyInArrow(verify, "a long, b long")

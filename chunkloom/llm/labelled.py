@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def id_remainder(doc_id: Column | str, modulus: int) -> Column:
+def id_remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus if isinstance(doc_id, str) else F.crc32(doc_id.cast("string").cast("binary")) % modulus
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
 
 
 def training_sample(labels: DataFrame, label: str, modulus: int, held_out: int, rows: int) -> DataFrame:
