@@ -5,9 +5,10 @@ consecutive words of an item; an item with fewer words, but some, is one window.
 words joined by single spaces with a space at both ends, so that a match starts and ends at words; match
 offsets map to word numbers, and these to offsets in the original text.
 
-The items are collected to the driver only in parts of at most `max_item_bytes` bytes; a larger benchmark is
-scanned part by part and the hit words are united per document. Null and empty texts have no words; repeated
-items each count; items without words never hit.
+An automaton takes about 300 bytes of memory for a byte of item text (measured), so items are collected to the
+driver only in parts of about `max_item_bytes` bytes; a larger benchmark is scanned part by part and the hit words
+are united per document, where rows with the same doc_id are one. Null and empty texts have no words; rows that
+repeat an item_id count as one item; items without words never hit.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from chunkloom.llm.common import bounded_batches
 
 WIDTH = 10
-MAX_ITEM_BYTES = 32 << 20
+#: Bytes of item texts in one automaton.
+MAX_ITEM_BYTES = 1 << 20
 _FOLD = bytes((c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32) for c in range(256))
 
 
@@ -88,7 +90,7 @@ def word_offsets(text: str) -> list[tuple[int, int]]:
 
 def _parts(items: DataFrame, max_item_bytes: int) -> list[DataFrame]:
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size * 2 // max_item_bytes) or 1
+    parts = -(-size // max_item_bytes) or 1
     return [items] if parts == 1 else [items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k) for k in range(parts)]
 
 
