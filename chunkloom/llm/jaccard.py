@@ -14,9 +14,12 @@ fewer words, the whole sequence is its one shingle. Two sets A and B link when
 3. The pigeonhole join: classes with an equal piece are candidates. No pairs are made; a sorted window links each
    class to its neighbour in the group, and the components of these links are clusters. A link between classes
    never leaves its cluster.
-4. Verification: small clusters share tasks; a cluster over BLOCK classes is cut into blocks, and each pair of
-   blocks is a task of its own. Inside a task, one-bit parity sketches of SKETCH bits (again a lower bound) pass
-   pairs on to the exact comparison, and only links that join two components leave the task.
+4. Verification: small clusters share tasks. A cluster over BLOCK classes is cut into blocks, each with the same
+   about GUIDES classes of the cluster besides, so that one pass over the blocks joins most of what is linked.
+   Only where that leaves several components a second pass is needed: between the blocks of the classes outside
+   the largest one and all blocks of the cluster, each pair of blocks a task of its own. Inside a task, one-bit
+   parity sketches of SKETCH bits (again a lower bound) pass pairs on to the exact comparison, and only links that
+   join two components leave the task. Two classes of the largest component need no comparison, any others get one.
 5. Components of these links, and their smallest doc_id.
 
 Null and empty texts have an empty set and link with nothing, not even with each other. Rows with the same doc_id
@@ -42,6 +45,8 @@ SIZE = 4
 LEAST, OF = 85, 100
 BLOCK = 1500
 SKETCH = 1024
+#: Classes of a large cluster that each of its blocks holds besides its own, on average.
+GUIDES = 32
 #: Ratio of neighbouring bands.
 GROWTH = 1.5
 _TURN = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
@@ -210,22 +215,9 @@ def links(documents: DataFrame, classes: DataFrame, least: int = LEAST, of: int
     near = pairs.select("cls", F.lag("cls").over(order).alias("before")).where(F.col("before").isNotNull()).select(F.col("before").alias("a"), F.col("cls").alias("b")).distinct()
     clusters = materialize(components(near), "clusters")  # (node, root)
     sizes = clusters.groupBy("root").agg(F.count("*").alias("members"))
-    total = clusters.count()
-    bins = max(1, -(-total // block))
-    member = clusters.join(sizes, "root").join(classes.withColumnRenamed("cls", "node"), "node")
-    cut = F.greatest(F.lit(1), F.ceil(F.col("members") / block)).cast("int")
-    own_part = F.pmod(F.xxhash64("node"), cut.cast("long")).cast("int")
-    big = F.col("members") > block
-    bin_of = F.pmod(F.xxhash64("root"), F.lit(bins)).cast("int")
-    unit = F.when(
-        big,
-        F.transform(
-            F.sequence(F.lit(0), cut - 1),
-            lambda o: F.struct(F.col("root").alias("bin"), F.least(o, F.col("part")).alias("one"), F.greatest(o, F.col("part")).alias("two")),
-        ),
-    ).otherwise(F.array(F.struct(bin_of.cast("long").alias("bin"), F.lit(-1).alias("one"), F.lit(-1).alias("two"))))
-    dealt = member.withColumn("part", own_part).select("doc_id", "node", "root", F.explode(unit).alias("u")).select("doc_id", "node", "root", "u.bin", "u.one", "u.two")
-    rows = member.select("doc_id", "node").join(documents.select("doc_id", "text"), "doc_id")
+    bins = max(1, -(-clusters.count() // block))
+    member = materialize(clusters.join(sizes, "root"), "members")
+    small, large = member.where(F.col("members") <= block), member.where(F.col("members") > block)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,9 +228,6 @@ def links(documents: DataFrame, classes: DataFrame, least: int = LEAST, of: int
             right = [len(t) > 0 and digest(t) == n for t, n in zip(own, batch["node"].to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([n for n, k in zip(batch["node"].to_pylist(), right) if k], pa.int64()), pa.array([t.tobytes() for t, k in zip(own, right) if k], pa.binary())], ["node", "tokens"])
 
-    held = rows.mapInArrow(tokens, "node long, tokens binary").dropDuplicates(["node"])
-    work = dealt.drop("doc_id").join(held, "node")
-
     def verify(table: pa.Table) -> pa.Table:
         node, root = table["node"].to_numpy(), table["root"].to_numpy()
         own = [np.frombuffer(t, np.uint64) for t in table["tokens"].to_pylist()]
@@ -250,7 +239,50 @@ def links(documents: DataFrame, classes: DataFrame, least: int = LEAST, of: int
             found += [(node[at[i]], node[at[j]]) for i, j in spanning_links([own[x] for x in at], least, of)]
         return pa.table([pa.array([int(x) for x, _ in found], pa.int64()), pa.array([int(y) for _, y in found], pa.int64())], names=["a", "b"])
 
-    return work.groupBy("bin", "one", "two").applyInArrow(verify, "a long, b long")
+    def verified(units: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Links within the units (node, bin, one, two); nodes: their distinct nodes."""
+        texts = nodes.join(classes.withColumnRenamed("cls", "node"), "node").select("doc_id", "node").join(documents.select("doc_id", "text"), "doc_id")
+        held = texts.mapInArrow(tokens, "node long, tokens binary").dropDuplicates(["node"])
+        return units.join(held, "node").groupBy("bin", "one", "two").applyInArrow(verify, "a long, b long")
+
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    part = F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int")
+    guide = F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("members") / GUIDES)) == 0
+    binned = small.select("node", "root", F.pmod(F.xxhash64("root"), F.lit(bins)).alias("bin"), F.lit(-1).alias("one"), F.lit(-1).alias("two"))
+    own = F.when(guide, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(part))
+    first = large.select("node", "root", F.col("root").alias("bin"), F.explode(own).alias("one")).withColumn("two", F.col("one"))
+    found = materialize(verified(binned.unionByName(first), member.select("node")), "links")
+    if large.isEmpty():
+        return found
+    apart = materialize(unjoined(large, found, block), "apart")
+    return found if apart.isEmpty() else found.unionByName(verified(stray_units(apart), apart.select("node")))
+
+
+def unjoined(large: DataFrame, found: DataFrame, block: int) -> DataFrame:
+    """(node, root, number, strays, whole) of the clusters that links `found` leave in several components.
+
+    large: (node, root, members). A class in its cluster's largest component lies in a block `number` from 0 to
+    whole - 1, any other in one from -1 to -strays.
+    """
+    joined = components(found.join(large.select(F.col("node").alias("a")), "a", "left_semi"), "joined")
+    named = large.join(joined.withColumnRenamed("root", "component"), "node", "left").select("node", "root", F.coalesce("component", "node").alias("component"))
+    counts = named.groupBy("root", "component").agg(F.count("*").alias("n"))
+    most = counts.groupBy("root").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.max("n").alias("inside"), F.sum("n").alias("members"))
+    dealt = named.join(most.where(F.col("inside") < F.col("members")), "root")
+    strays = F.ceil((F.col("members") - F.col("inside")) / block).cast("int")
+    whole = F.ceil(F.col("inside") / block).cast("int")
+    stray = F.col("component") != F.col("most")
+    own = F.pmod(F.xxhash64("node"), F.when(stray, strays).otherwise(whole).cast("long")).cast("int")
+    return dealt.select("node", "root", F.when(stray, -1 - own).otherwise(own).alias("number"), strays.alias("strays"), whole.alias("whole"))
+
+
+def stray_units(apart: DataFrame) -> DataFrame:
+    """(node, root, bin, one, two): every pair of a block of strays, `one`, and a block of their cluster, `two`."""
+    number = F.col("number")
+    with_strays = F.transform(F.sequence(F.lit(1), F.col("strays")), lambda i: F.struct(F.least(-i, number).alias("one"), F.greatest(-i, number).alias("two")))
+    with_whole = F.transform(F.sequence(F.lit(0), F.col("whole") - 1), lambda i: F.struct(number.alias("one"), i.alias("two")))
+    units = F.when(number < 0, F.concat(with_strays, with_whole)).otherwise(with_strays)
+    return apart.select("node", "root", F.explode(units).alias("u")).select("node", "root", F.col("root").alias("bin"), "u.one", "u.two")
 
 
 def join(documents: DataFrame, least: int = LEAST, of: int = OF, size: int = SIZE) -> DataFrame:

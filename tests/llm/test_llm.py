@@ -197,10 +197,11 @@ def brute_jaccard(texts):
     return {i: (len(s), find(i)) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("block", [jaccard.BLOCK, 3])
-def test_jaccard_join_keeps_every_component(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, guides", [(jaccard.BLOCK, jaccard.GUIDES), (3, jaccard.GUIDES), (3, 0.5)])
+def test_jaccard_join_keeps_every_component(spark, monkeypatch, block, guides):
     texts = made_texts(6, 80)
     real = jaccard.links
+    monkeypatch.setattr(jaccard, "GUIDES", guides)
     monkeypatch.setattr(jaccard, "links", lambda *a, **k: real(*a, **{**k, "block": block}))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(docs(spark, texts)).collect()}
     assert got == brute_jaccard(texts)
