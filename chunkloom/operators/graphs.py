@@ -101,3 +101,21 @@ def anchors(edges: DataFrame) -> DataFrame:
     both = kept.select("axis", F.col("fixed").alias("tile"), "score").union(kept.select("axis", "moving", "score"))
     sums = both.groupBy("axis", "tile").agg(F.sum("score").alias("weight"))
     return sums.groupBy("axis").agg(F.max(F.struct("weight", (-F.col("tile")).alias("k"))).alias("m")).select("axis", (-F.col("m.k")).alias("tile"), "m.weight")
+
+
+def tree_parents(edges: DataFrame, anchor: int) -> DataFrame:
+    """(node, parent): a spanning tree of the tiles that accepted edges reach; the parent is the least tile one edge nearer to the anchor."""
+    kept = edges.where("accepted")
+    links = kept.select(F.col("fixed").alias("node"), F.col("moving").alias("parent")).union(kept.select("moving", "fixed"))
+    found = depths(edges, anchor)
+    near = found.select(F.col("node").alias("parent"), (F.col("depth") + 1).alias("depth"))
+    return links.join(found, "node").join(near, ["parent", "depth"]).groupBy("node").agg(F.min("parent").alias("parent"))
+
+
+def largest_face_component(faces: DataFrame) -> DataFrame:
+    """The faces (v0, v1, v2) of the component with the most faces, of the least vertex at ties; faces that repeat a vertex go."""
+    kept = faces.where((F.col("v0") != F.col("v1")) & (F.col("v1") != F.col("v2")) & (F.col("v0") != F.col("v2")))
+    found = components(kept.select(F.col("v0").alias("a"), F.col("v1").alias("b")).union(kept.select("v1", "v2")))
+    named = kept.join(found, kept["v0"] == found["node"]).drop("node")
+    best = named.groupBy("root").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "root").limit(1)
+    return named.join(best.select("root"), "root", "left_semi").select(*faces.columns)

@@ -108,3 +108,28 @@ def block_means(voxels: DataFrame, size: int = 2) -> DataFrame:
     """(z, y, x, v): means of size x size blocks in a plane, rounded half to even; blocks that miss voxels count those there."""
     at = [F.floor(F.col(c) / size).cast("int").alias(c) for c in "yx"]
     return voxels.groupBy("z", *at).agg(F.bround(F.sum("v") / F.count("v"), 0).cast("long").alias("v"))
+
+
+def plane_eligibility(voxels: DataFrame, share: float, filled: float) -> DataFrame:
+    """(z, signal, fraction, eligible): signal is the 99th less the 50th percentile of a plane.
+
+    A plane is eligible where its signal is at least `share` of the upper quartile of all positive signals, and at
+    least `filled` of its voxels aren't background.
+    """
+    q = F.percentile("v", F.array(F.lit(0.5), F.lit(0.99)))
+    planes = voxels.groupBy("z").agg((q[1] - q[0]).alias("signal"), (F.sum((F.col("label") != 0).cast("long")) / F.count("*")).alias("fraction"))
+    level = planes.where(F.col("signal") > 0).agg(F.percentile("signal", 0.75).alias("level"))  # one row
+    return planes.crossJoin(level).select("z", "signal", "fraction", ((F.col("signal") >= share * F.col("level")) & (F.col("fraction") >= filled)).alias("eligible"))
+
+
+def flattened_background(voxels: DataFrame, low: float) -> DataFrame:
+    """voxels with the values of background replaced by the plane's low percentile."""
+    levels = voxels.groupBy("z").agg(F.percentile("v", low).alias("low"))
+    return voxels.join(levels, "z").withColumn("v", F.when(F.col("label") == 0, F.col("low")).otherwise(F.col("v").cast("double"))).drop("low")
+
+
+def overlap_screen(bands: DataFrame, share: int, least: int) -> DataFrame:
+    """(band, n, content_a, content_b, accepted): both sides need max(least, ceil(share % of the band)) pixels with a label."""
+    counts = bands.groupBy("band").agg(F.count("*").alias("n"), *[F.sum((F.col(c) > 0).cast("long")).alias(f"content_{c}") for c in "ab"])
+    need = F.greatest(F.lit(least), F.ceil(F.col("n") * share / 100))
+    return counts.withColumn("accepted", (F.col("content_a") >= need) & (F.col("content_b") >= need))

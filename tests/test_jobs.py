@@ -29,5 +29,6 @@ def test_query_matches_sql(spark, db, name):
     got = QUERIES[name](spark, DATA)
     columns = sorted(got.columns)
     rows = sorted(map(repr, (tuple(r[c] for c in columns) for r in got.collect())))
+    assert sorted(c[0] for c in db.execute(f"describe {ORACLE_SQL[name]}").fetchall()) == columns
     wanted = db.execute("select " + ", ".join(f'"{c}"' for c in columns) + f" from ({ORACLE_SQL[name]})").fetchall()
     assert rows == sorted(map(repr, wanted))
