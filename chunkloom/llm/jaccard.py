@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chunkloom.llm import kernels as K
-from chunkloom.llm.common import bounded_batches, materialize
+from chunkloom.llm.common import bounded_batches, hot_left_join, materialize
 from chunkloom.llm.components import components
 
 SIZE = 4
@@ -209,14 +209,15 @@ def spanning_links(tokens: list[np.ndarray], least: int = LEAST, of: int = OF) -
 
 
 def links(documents: DataFrame, classes: DataFrame, least: int = LEAST, of: int = OF, size: int = SIZE, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between classes that keep the components of all links. classes: (cls, doc_id, n_shingles)."""
+    """(a, b): links between classes that keep the components of all links. classes: (cls, doc_id)."""
     pairs = sketches(documents, least, of, size).distinct()
     order = W.partitionBy("key").orderBy("cls")
     near = pairs.select("cls", F.lag("cls").over(order).alias("before")).where(F.col("before").isNotNull()).select(F.col("before").alias("a"), F.col("cls").alias("b")).distinct()
     clusters = materialize(components(near), "clusters")  # (node, root)
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("members"))
-    bins = max(1, -(-clusters.count() // block))
-    member = materialize(clusters.join(sizes, "root"), "members")
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("members"), F.count("*").alias("n"))
+    total = clusters.count()
+    bins = max(1, -(-total // block))
+    member = materialize(hot_left_join(clusters, sizes, "root", "node", total), "members")
     small, large = member.where(F.col("members") <= block), member.where(F.col("members") > block)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +269,8 @@ def unjoined(large: DataFrame, found: DataFrame, block: int) -> DataFrame:
     named = large.join(joined.withColumnRenamed("root", "component"), "node", "left").select("node", "root", F.coalesce("component", "node").alias("component"))
     counts = named.groupBy("root", "component").agg(F.count("*").alias("n"))
     most = counts.groupBy("root").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.max("n").alias("inside"), F.sum("n").alias("members"))
-    dealt = named.join(most.where(F.col("inside") < F.col("members")), "root")
+    split = most.where(F.col("inside") < F.col("members")).withColumn("n", F.col("members"))
+    dealt = hot_left_join(named, split, "root", "node", large.count()).where(F.col("most").isNotNull())
     strays = F.ceil((F.col("members") - F.col("inside")) / block).cast("int")
     whole = F.ceil(F.col("inside") / block).cast("int")
     stray = F.col("component") != F.col("most")
@@ -288,10 +290,11 @@ def stray_units(apart: DataFrame) -> DataFrame:
 def join(documents: DataFrame, least: int = LEAST, of: int = OF, size: int = SIZE) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of documents."""
     own = materialize(sets(documents, size), "sets")
-    classes = own.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
+    classes = own.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
     found = materialize(links(documents, classes.select("cls", "doc_id"), least, of, size), "links")
     roots = components(found)  # (node, root), only of linked classes
-    grouped = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
-    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_class = grouped.join(smallest, "root").select("cls", "component_id")
-    return own.join(by_class, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    grouped = materialize(classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc_id", "rows", F.coalesce("root", "cls").alias("root")), "grouped")
+    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    by_class = hot_left_join(grouped, smallest, "root", "cls", grouped.count()).select("cls", "component_id", F.col("rows").alias("n"))
+    named = hot_left_join(own, materialize(by_class, "named"), "cls", "doc_id", own.count())
+    return named.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

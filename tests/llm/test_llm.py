@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chunkloom.llm import chat, decontaminate, jaccard, licenses, packing, quality, secrets, topk, toxicity, urls
+from chunkloom.llm.common import hot_left_join
 from chunkloom.llm.components import components
 from chunkloom.llm.queries import ORACLE_SQL, QUERIES
 
@@ -363,3 +364,14 @@ def test_pipeline_against_its_parts(spark):
     for r in P.run(spark, DATA).collect():
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
     assert got == tokens
+
+
+def test_hot_and_null_keys_join_like_others(spark):
+    rows = [(i, 1) for i in range(60)] + [(100 + i, None) for i in range(20)] + [(200, 2), (201, 3)]
+    table = spark.createDataFrame(rows, "id long, k long")
+    keyed = spark.createDataFrame([(1, "hot", 60), (2, "cold", 1), (9, "unused", 0)], "k long, v string, n long")
+    wanted = sorted((i, k, {1: "hot", 2: "cold"}.get(k)) for i, k in rows)
+    for total in (len(rows), 10**9):  # hot keys, and none; 1 row in 1000 makes any key of 82 rows hot
+        got = hot_left_join(table, keyed, "k", "id", total).collect()
+        assert sorted(((r["id"], r["k"], r["v"]) for r in got), key=lambda x: x[0]) == wanted
+    assert hot_left_join(table.limit(0), keyed, "k", "id", 0).count() == 0
