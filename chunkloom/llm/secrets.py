@@ -102,13 +102,31 @@ def randomness(run: str) -> float:
     return min(1.0, 3 * min(uniform, turns, serial))
 
 
+def at_least(n: int, least: int, chance: float) -> float:
+    """The chance of `least` or more successes in n trials. Summed outwards from one side of the mean, so terms only fall; sums stop where the rest is below a float's precision."""
+    if least <= 0:
+        return 1.0
+    if least > n:
+        return 0.0
+    upper = least > n * chance
+    i, odds = least if upper else least - 1, chance / (1 - chance)
+    first = math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(chance) + (n - i) * math.log1p(-chance)
+    total = term = 1.0  # as multiples of the first term
+    while True:
+        ratio = (n - i) / (i + 1) * odds if upper else i / (n - i + 1) / odds
+        term *= ratio
+        total += term
+        i += 1 if upper else -1
+        if term <= 1e-17 * total * (1 - ratio):
+            break
+    tail = math.exp(min(0.0, first + math.log(total)))
+    return tail if upper else 1 - tail
+
+
 def unlike_text(run: str) -> float:
     """The chance of as many changes of character kind in text of this length."""
     kind = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in run]
-    changes, n = sum(a != b for a, b in zip(kind, kind[1:])), len(run) - 1
-    if changes == 0:
-        return 1.0
-    return min(1.0, sum(math.comb(n, i) * CHANGES**i * (1 - CHANGES) ** (n - i) for i in range(changes, min(n, changes + 60) + 1)))
+    return at_least(len(run) - 1, sum(a != b for a, b in zip(kind, kind[1:])), CHANGES)
 
 
 def discoveries(p: list[float], rate: float = RATE) -> list[bool]:

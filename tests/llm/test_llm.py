@@ -2,10 +2,12 @@
 
 import hashlib
 import json
+import math
 import os
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -276,6 +278,25 @@ def test_secret_spans(spark):
     assert clean[9] == "mein Schlüssel [SECRET] ende" and clean[0] is None and clean[10] == texts[10]
 
 
+@pytest.mark.parametrize("n", [1, 19, 200, 1100, 5000])
+def test_tails_are_whole_at_any_length(n):
+    terms = [math.comb(n, i) * 3**i * 47 ** (n - i) for i in range(n + 1)]
+    for least in sorted({0, 1, n // 50, n * 3 // 50, n * 3 // 50 + 1, n // 12, n // 5, n * 62 // 100, n}):
+        assert secrets.at_least(n, least, 0.06) == pytest.approx(float(Fraction(sum(terms[least:]), 50**n)), rel=1e-8, abs=1e-300)
+
+
+@pytest.mark.parametrize("n", [1000, 1070, 2000, 100_000, 1_000_000])
+def test_unbroken_runs_of_any_length(spark, n):
+    rnd = random.Random(n)
+    blob = "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n))
+    words = "".join(rnd.choices(["under", "score", "Camel", "Case", "number", "some7", "-", "_"], k=n))[:n]
+    quiet = "".join(rnd.choices(["understand", "Numbering"], [9, 1], k=n))[:n]  # fewer changes than usual
+    assert secrets.unlike_text(quiet) > 0.9 and secrets.unlike_text("a" * n) == 1.0 and secrets.unlike_text(blob) < 1e-99
+    # A quiet run is no discovery, whether alone or beside a random one.
+    rows = {r["doc_id"]: r["spans"] for r in secrets.scan(docs(spark, [blob, words, "z" * n, f"é {blob} {quiet} ende", quiet])).collect()}
+    assert rows == {0: f"random:0:{n}", 1: "", 2: "", 3: f"random:2:{n + 2}", 4: ""}
+
+
 def test_false_discovery_control():
     assert secrets.discoveries([0.9, 0.00001, 0.5, 0.002], 0.01) == [False, True, False, True]
     assert secrets.discoveries([]) == []
