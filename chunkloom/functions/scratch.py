@@ -18,8 +18,8 @@ def folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """df through a Parquet table in that folder: cuts lineage and survives lost executors."""
+def cut(df: DataFrame, name: str = "cut", **options: str) -> DataFrame:
+    """df through a Parquet table in that folder: cuts lineage and survives lost executors. options are the writer's."""
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,9 +29,9 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts lineage and survives lost executors."""
-    return cut(df, name)
+    return cut(df, name, **options)
 
 
 def hot_left_join(rows: DataFrame, keyed: DataFrame, key: str, by: str, total: int) -> DataFrame:

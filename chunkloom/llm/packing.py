@@ -8,6 +8,10 @@ and not of documents. Where nothing fits, as many packs open as the pieces of th
 Ranks are counted within (length, bucket), with a bucket of at most about RANKED pieces, and shifted by the sizes
 of the buckets before, so that a length shared by many pieces isn't ranked in one task.
 
+Sequences are written with their ids: a piece of `capacity` ids is a sequence as it is, and rests travel to their
+sequence, at most `capacity` rows each, where they are laid end to end and padded. What packed() returns is read
+from the written sequences.
+
 A null text is empty and has one piece with the end id alone. Rows with the same doc_id are packed like others.
 """
 
@@ -29,6 +33,8 @@ from chunkloom.llm.common import bounded_batches, materialize
 
 CAPACITY = 2048
 END_ID = 1
+#: A real token too: a sequence's `filled` says where padding begins.
+PAD_ID = 0
 RANKED = 100_000
 #: Entries of the per-task word cache.
 CACHE = 400_000
@@ -91,25 +97,35 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def squeeze(ids: bytes) -> bytes:
+    """Little-endian unsigned 32-bit ids, compressed: all low halves first, then the high ones, which are mostly zero."""
+    return pa.compress(np.frombuffer(ids, "<u2").reshape(-1, 2).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes, length: int) -> bytes:
+    return np.frombuffer(pa.decompress(data, 4 * length, codec="zstd", asbytes=True), "<u2").reshape(2, -1).T.tobytes()
+
+
 def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, start, length, doc_tokens, ids): the ids of each piece as little-endian unsigned 32-bit bytes."""
+    """(doc_id, start, length, doc_tokens, nth, ids): the ids of each piece as squeeze() has them. nth counts the task's pieces of `capacity` ids before this one."""
     bounded_batches(documents.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        own = encoder(tokenizer_path)
+        own, nth = encoder(tokenizer_path), 0
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 ids = own.encode(text) + end
                 for at in range(0, len(ids), 4 * capacity):
                     part = ids[at : at + 4 * capacity]
-                    for column, value in zip(out, (doc, at // 4, len(part) // 4, len(ids) // 4, part)):
+                    for column, value in zip(out, (doc, at // 4, len(part) // 4, len(ids) // 4, nth, squeeze(part))):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "start", "length", "doc_tokens", "ids"])
+                    nth += len(part) == 4 * capacity
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (*[pa.int64()] * 5, pa.binary()))], ["doc_id", "start", "length", "doc_tokens", "nth", "ids"])
 
-    return documents.select("doc_id", "text").mapInArrow(apply, "doc_id long, start long, length long, doc_tokens long, ids binary")
+    return documents.select("doc_id", "text").mapInArrow(apply, "doc_id long, start long, length long, doc_tokens long, nth long, ids binary")
 
 
 def patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:
@@ -206,8 +222,57 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def filled(rows: DataFrame, capacity: int = CAPACITY, pad_id: int = PAD_ID) -> DataFrame:
+    """(sequence_id, filled, ids, pieces) from rows of pieces, whose partitions hold whole sequences in order of sequence_id and offset. ids are little-endian unsigned 32-bit bytes, padded to `capacity`."""
+    pad = np.array([pad_id], "<u4").tobytes()
+    names = ["doc_id", "start", "length", "doc_tokens", "offset"]
+    held = pa.list_(pa.struct([(n, pa.int64()) for n in names]))
+
+    def written(done: list[tuple[int, list, list]]) -> pa.RecordBatch:
+        for _, blobs, own in done:
+            if any(p["offset"] != q["offset"] + q["length"] for p, q in zip(own, [{"offset": 0, "length": 0}, *own])):
+                raise ValueError("pieces of a sequence overlap or leave a gap")
+        sizes = [sum(p["length"] for p in own) for _, _, own in done]
+        if max(sizes) > capacity:
+            raise ValueError(f"a sequence has more than {capacity} ids")
+        ids = [b"".join([*[unsqueeze(b, p["length"]) for b, p in zip(blobs, own)], pad * (capacity - n)]) for (_, blobs, own), n in zip(done, sizes)]
+        return pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array([d[2] for d in done], held)], ["sequence_id", "filled", "ids", "pieces"])
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple[int, list, list]] = []
+        for batch in batches:
+            own = batch.select(names).to_pylist()
+            for sequence, blob, piece in zip(batch["sequence_id"].to_pylist(), batch["ids"].to_pylist(), own):
+                if not done or done[-1][0] != sequence:
+                    if len(done) == 200:
+                        yield written(done)
+                        done = []
+                    done.append((sequence, [], []))
+                done[-1][1].append(blob)
+                done[-1][2].append(piece)
+        if done:
+            yield written(done)
+
+    return rows.select(*names, "sequence_id", "ids").mapInArrow(lay, f"sequence_id long, filled long, ids binary, pieces array<struct<{','.join(f'{n}:bigint' for n in names)}>>")
+
+
+def sequences(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY, pad_id: int = PAD_ID) -> DataFrame:
+    """The padded sequences of all documents, written: (sequence_id, filled, ids, pieces), see filled()."""
+    spark = documents.sparkSession
+    cut = materialize(pieces(documents, path or tokenizer_path(), capacity).withColumns({"piece": F.monotonically_increasing_id(), "task": F.spark_partition_id()}), "pieces")
+    whole, rest = cut.where(F.col("length") == capacity), cut.where(F.col("length") < capacity)
+    before, total = [], 0
+    for r in whole.groupBy("task").agg(F.count("*").alias("n")).orderBy("task").collect():  # one row for each task that wrote
+        before.append((r["task"], total))
+        total += r["n"]
+    shift = F.broadcast(spark.createDataFrame(before, "task int, before long"))
+    whole = whole.join(shift, "task").withColumns({"sequence_id": F.col("before") + F.col("nth"), "offset": F.lit(0).cast("long")})
+    places = pack(rest.select("doc_id", "start", "length", "doc_tokens", "piece"), capacity).select("piece", (F.col("sequence_id") + total).alias("sequence_id"), "offset")
+    rest = rest.join(materialize(places, "places"), "piece").repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+    return materialize(filled(rest, capacity, pad_id).unionByName(filled(whole, capacity, pad_id)), "sequences", compression="zstd")
+
+
 def packed(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of each piece."""
-    cut = pieces(documents, path or tokenizer_path())
-    light = materialize(cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"), "pieces")
-    return pack(light).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of each piece, read from the written sequences."""
+    own = "transform(pieces, p -> struct(p.doc_id, p.start, p.length, crc32(substring(ids, int(4 * p.offset + 1), int(4 * p.length))) as ids_crc32, p.doc_tokens, sequence_id, p.offset))"
+    return sequences(documents, path).selectExpr(f"inline({own})")

@@ -116,6 +116,29 @@ def test_packing_is_gapless_and_whole(spark):
     assert packing.packed(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_sequences_hold_every_id_once_and_are_padded(spark):
+    texts = made_texts(4, 20) + ["word " * 7000, None, "x " * 2047, "x " * 2048, "日本語 🙂 " * 900]
+    table = docs(spark, texts)
+    table = table.union(table.where("doc_id < 9")).union(table.where("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long")))
+    e = packing.encoder(packing.tokenizer_path())
+    want = sorted(e.encode(r["text"]) + np.array([1], "<u4").tobytes() for r in table.select("text").collect())
+    parts, n = {}, 0
+    for r in packing.sequences(table.repartition(3), pad_id=7).collect():
+        ids, at = np.frombuffer(r["ids"], "<u4"), 0
+        assert len(ids) == 2048 and (ids[r["filled"] :] == 7).all()
+        for p in r["pieces"]:
+            assert p["offset"] == at
+            at += p["length"]
+            parts.setdefault((p["doc_id"], p["start"], p["doc_tokens"]), []).append(ids[p["offset"] : at].tobytes())
+        assert at == r["filled"] > 0
+        n += 1
+    assert sum(map(len, want)) <= 8192 * n < sum(map(len, want)) + 8192 * 2
+    # Rows with one doc_id have equal texts here, so any of its pieces at a start continues the one before.
+    got = [b for k in parts if not k[1] for b in [b"".join(parts[k[0], s, k[2]][i] for s in range(0, k[2], 2048)) for i in range(len(parts[k]))]]
+    assert sorted(got) == want
+    assert packing.unsqueeze(packing.squeeze(np.array([0, 65536, 2**32 - 1], "<u4").tobytes()), 3) == np.array([0, 65536, 2**32 - 1], "<u4").tobytes()
+
+
 def test_ranks_with_small_buckets(spark):
     table = spark.createDataFrame([(i, 0, 5 if i % 3 else 7) for i in range(300)], "doc_id long, start long, length long")
     found = packing.ranked(table, {5: 200, 7: 100}, ["doc_id", "start"], most=9).collect()
