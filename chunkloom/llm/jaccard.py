@@ -23,7 +23,9 @@ fewer words, the whole sequence is its one shingle. Two sets A and B link when
 5. Components of these links, and their smallest doc_id.
 
 Null and empty texts have an empty set and link with nothing, not even with each other. Rows with the same doc_id
-and different texts are separate texts, each with the component of its own text.
+and different texts are separate texts, each with the component of its own text. A null doc_id is no obstacle: texts
+are found again by doc_id and a hash of the text, nulls equal nulls, and the class digest settles clashes of the
+hash. component_id is null where all of a component's ids are.
 """
 
 from __future__ import annotations
@@ -126,7 +128,7 @@ def piece_keys(tokens: np.ndarray, band: Band) -> np.ndarray:
 
 
 def sets(documents: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, n_shingles, cls) for each row; an empty set has a null class."""
+    """(doc_id, at, n_shingles, cls) for each row; at is a hash of the text, and an empty set has a null class."""
     bounded_batches(documents.sparkSession)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,9 +137,9 @@ def sets(documents: DataFrame, size: int = SIZE) -> DataFrame:
             own: list[tuple[int, int | None]] = []
             for i, j in K.slices(offsets):
                 own += [(len(t), digest(t) if len(t) else None) for t in token_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([n for n, _ in own], pa.int64()), pa.array([c for _, c in own], pa.int64())], ["doc_id", "n_shingles", "cls"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["at"], pa.array([n for n, _ in own], pa.int64()), pa.array([c for _, c in own], pa.int64())], ["doc_id", "at", "n_shingles", "cls"])
 
-    return documents.select("doc_id", "text").mapInArrow(apply, "doc_id long, n_shingles long, cls long")
+    return documents.select("doc_id", "text", F.xxhash64("text").alias("at")).mapInArrow(apply, "doc_id long, at long, n_shingles long, cls long")
 
 
 def sketches(documents: DataFrame, least: int = LEAST, of: int = OF, size: int = SIZE) -> DataFrame:
@@ -209,7 +211,7 @@ def spanning_links(tokens: list[np.ndarray], least: int = LEAST, of: int = OF) -
 
 
 def links(documents: DataFrame, classes: DataFrame, least: int = LEAST, of: int = OF, size: int = SIZE, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between classes that keep the components of all links. classes: (cls, doc_id)."""
+    """(a, b): links between classes that keep the components of all links. classes: (cls, doc_id, at), one row of each class."""
     pairs = sketches(documents, least, of, size).distinct()
     order = W.partitionBy("key").orderBy("cls")
     near = pairs.select("cls", F.lag("cls").over(order).alias("before")).where(F.col("before").isNotNull()).select(F.col("before").alias("a"), F.col("cls").alias("b")).distinct()
@@ -242,8 +244,9 @@ def links(documents: DataFrame, classes: DataFrame, least: int = LEAST, of: int
 
     def verified(units: DataFrame, nodes: DataFrame) -> DataFrame:
         """Links within the units (node, bin, one, two); nodes: their distinct nodes."""
-        texts = nodes.join(classes.withColumnRenamed("cls", "node"), "node").select("doc_id", "node").join(documents.select("doc_id", "text"), "doc_id")
-        held = texts.mapInArrow(tokens, "node long, tokens binary").dropDuplicates(["node"])
+        wanted = nodes.join(classes.withColumnRenamed("cls", "node"), "node").select("node", F.col("doc_id").alias("_id"), F.col("at").alias("_at"))
+        texts = wanted.join(documents.select("doc_id", "text"), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_at") == F.xxhash64("text")))
+        held = texts.select("node", "text").mapInArrow(tokens, "node long, tokens binary").dropDuplicates(["node"])
         return units.join(held, "node").groupBy("bin", "one", "two").applyInArrow(verify, "a long, b long")
 
     blocks = F.ceil(F.col("members") / block).cast("int")
@@ -287,14 +290,39 @@ def stray_units(apart: DataFrame) -> DataFrame:
     return apart.select("node", "root", F.explode(units).alias("u")).select("node", "root", F.col("root").alias("bin"), "u.one", "u.two")
 
 
-def join(documents: DataFrame, least: int = LEAST, of: int = OF, size: int = SIZE) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of documents."""
+def grouped(documents: DataFrame, least: int, of: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of sets(), and (cls, rows, later, doc_id, at, n, root) of each class: its first row by (doc_id, nulls last, at), of which there are n."""
     own = materialize(sets(documents, size), "sets")
-    classes = own.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
-    found = materialize(links(documents, classes.select("cls", "doc_id"), least, of, size), "links")
+    each = own.where(F.col("cls").isNotNull()).groupBy("cls", "doc_id", "at").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("later"), "doc_id", "at", "n")).alias("first")
+    classes = each.groupBy("cls").agg(first, F.sum("n").alias("rows")).select("cls", "rows", "first.*")
+    found = materialize(links(documents, classes.select("cls", "doc_id", "at"), least, of, size), "links")
     roots = components(found)  # (node, root), only of linked classes
-    grouped = materialize(classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc_id", "rows", F.coalesce("root", "cls").alias("root")), "grouped")
-    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
-    by_class = hot_left_join(grouped, smallest, "root", "cls", grouped.count()).select("cls", "component_id", F.col("rows").alias("n"))
-    named = hot_left_join(own, materialize(by_class, "named"), "cls", "doc_id", own.count())
+    return own, materialize(classes.join(roots, classes["cls"] == roots["node"], "left").select(*classes.columns, F.coalesce("root", "cls").alias("root")), "grouped")
+
+
+def join(documents: DataFrame, least: int = LEAST, of: int = OF, size: int = SIZE) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of documents."""
+    own, classes = grouped(documents, least, of, size)
+    smallest = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    by_class = hot_left_join(classes.select("cls", "rows", "root"), smallest, "root", "cls", classes.count()).select("cls", "component_id", F.col("rows").alias("n"))
+    named = hot_left_join(own.drop("at"), materialize(by_class, "named"), "cls", "doc_id", own.count())
     return named.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def representatives(documents: DataFrame, least: int = LEAST, of: int = OF, size: int = SIZE) -> DataFrame:
+    """One row of each component, the first by doc_id (nulls last), class and text hash, and every row whose set is empty.
+
+    Of rows with the same doc_id and text one stays, whichever it is.
+    """
+    _, classes = grouped(documents, least, of, size)
+    best = classes.groupBy("root").agg(F.min(F.struct("later", "doc_id", "cls", "at", "n")).alias("best"))
+    best = materialize(best.select(F.col("best.doc_id").alias("_id"), F.col("best.at").alias("_at"), F.col("best.n").alias("_n")), "best")
+    words = F.length(F.translate(F.coalesce("text", F.lit("")), " \t\n\v\f\r", "")) > 0
+    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_at"))
+    full = documents.where(words)
+    kept = documents.where(~words).unionByName(full.join(best.where("_n = 1"), match, "left_semi"))
+    repeated = best.where("_n > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(full.join(repeated, match, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
 
 quality: documents that the classifier rejects go. near_duplicates: one document of each component stays, the one
-with the smallest doc_id. decontamination: documents with a benchmark window go. secrets: spans found are replaced
+with the smallest doc_id; a null doc_id comes last, and rows that share a doc_id are documents of their own. decontamination: documents with a benchmark window go. secrets: spans found are replaced
 by a mark, and n_chars follows. packing: what is kept becomes packed sequences.
 """
 
@@ -20,8 +20,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = jaccard.join(docs).where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return jaccard.representatives(docs).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -234,6 +234,33 @@ def test_jaccard_join_keeps_every_component(spark, monkeypatch, block, guides):
     assert jaccard.join(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_with_null_and_repeated_ids(spark):
+    import corpus_pipeline as P
+
+    long = [f"{c}{i}" for c in "abcd" for i in range(40)]
+    a, b, c, d = (long[k : k + 40] for k in range(0, 160, 40))
+    near = lambda words, k: " ".join([*words[:-k], *(f"new{k}{i}" for i in range(k))])
+    rows = [
+        (1, " ".join(a)), (1, " ".join(b)),  # one id, two texts
+        (2, near(a, 1)), (2, near(b, 1)),
+        (3, " ".join(c)), (None, near(c, 2)), (4, "x y " + near(c[2:], 2)),  # 3 and 4 are joined by the row without an id alone
+        (None, " ".join(d)), (None, " ".join(d)), (None, near(d, 1)),  # no id in the component
+        (5, "own words"), (5, "own words"), (None, None), (None, ""), (6, " \t"), (6, " \t"),
+    ]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOC)
+    joined = sorted((r["component_id"] for r in jaccard.join(table).collect()), key=str)
+    assert joined == [1] * 4 + [3] * 3 + [5] * 2 + [6] * 2 + [None] * 5
+    root = {i: r for i, (_, r) in brute_jaccard([t for _, t in rows]).items()}
+    got = P.drop_near_duplicates(spark, table, DATA).collect()
+    for k in sorted(set(root.values())):
+        own = [rows[i] for i in root if root[i] == k]
+        texts = {t for _, t in own}
+        stay = [(r["doc_id"], r["text"]) for r in got if r["text"] in texts]
+        if (own[0][1] or "").strip():
+            assert len(stay) == 1 and stay[0] in own and stay[0][0] == min((i for i, _ in own if i), default=None)
+    assert sorted(((r["doc_id"], r["text"]) for r in got if not (r["text"] or "").strip()), key=str) == sorted(((i, t) for i, t in rows if not (t or "").strip()), key=str)
+
+
 @needs_data
 def test_jaccard_join_on_the_table(spark):
     table = spark.read.parquet(f"{DATA}/documents.parquet")
