@@ -44,8 +44,10 @@ _BLANK = r"\t-\r \x85\xa0"
 _LETTERS = "a-zªµºß-öø-ɏ"
 _NUMBERS = "0-9²³¹¼½¾"
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANK}{_LETTERS}{_NUMBERS}]+")
-#: Texts with other characters, or with these strings, go through the tokenizer whole.
-_WHOLE = re.compile(r"[^\x00-įı-ɏ]|<\|startoftext\|>|<\|endoftext\|>")
+#: Characters below U+0250 whose lower case is none of one character below U+0250.
+_FAR = "".join(chr(c) for c in range(0x250) if len(chr(c).lower()) > 1 or chr(c).lower() > "ɏ")
+#: Texts with such or other characters, or with these strings, go through the tokenizer whole.
+_WHOLE = re.compile(rf"[{_FAR}]|[^\x00-ɏ]|<\|startoftext\|>|<\|endoftext\|>")
 
 
 def _byte_letters() -> dict[int, str]:
