@@ -3,16 +3,21 @@
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z lower-cased. A window is `width`
 consecutive words of an item; an item with fewer words, but some, is one window. Patterns and texts are
 words joined by single spaces with a space at both ends, so that a match starts and ends at words; match
-offsets map to word numbers, and these to offsets in the original text.
+offsets map to word numbers, and these to code point offsets in the original text.
 
-An automaton takes about 300 bytes of memory for a byte of item text (measured), so items are collected to the
-driver only in parts of about `max_item_bytes` bytes; a larger benchmark is scanned part by part and the hit words
-are united per document, where rows with the same doc_id are one. Null and empty texts have no words; rows that
-repeat an item_id count as one item; items without words never hit.
+An automaton takes about 300 bytes of memory for a byte of item text (measured), so it is built from at most
+`max_item_bytes` bytes of items, which is also all that the driver collects. A larger benchmark stays a table: tasks
+test the windows of each text against a bitmap of BITS bits (no window of an item is missed), and only windows that
+pass are joined with the items' windows. Either way the documents are scanned once, and each row of documents gives
+one row, whatever its doc_id.
+
+Null and empty texts have no words; rows that repeat an item_id count as one item; items without words, or with a
+null item_id, never hit.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,12 +26,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import bounded_batches
+from chunkloom.llm import kernels as K
+from chunkloom.llm.common import bounded_batches, hot_left_join, materialize
 
 WIDTH = 10
-#: Bytes of item texts in one automaton.
+#: Bytes of item texts in the automaton.
 MAX_ITEM_BYTES = 1 << 20
-_FOLD = bytes((c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32) for c in range(256))
+#: The bitmap of window hashes has 2 ** BITS bits.
+BITS = 28
+_PAGE = 1 << 15
+_LETTERS = bytes(c for c in range(256) if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c > 127)
+_FOLD = bytes((c + 32 if 65 <= c <= 90 else c if c in _LETTERS else 32) for c in range(256))
+_KIND = K.kinds(bytes(c for c in range(256) if c not in _LETTERS), rest=1)
+_WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
+_STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+_RANGES = "array<struct<first:long,stop:long>>"
+_SPANS = "array<struct<start:long,stop:long>>"
 
 
 def normalise(text: str | None) -> list[bytes]:
@@ -39,7 +54,7 @@ def windows(text: str | None, width: int = WIDTH) -> list[str]:
 
 
 def automaton(items: list[tuple[int, str]], width: int) -> ahocorasick.Automaton | None:
-    """Windows of all items; a window's value is (its words, the numbers of its items)."""
+    """Windows of all items; a window's value is (its length, its words, the numbers of its items)."""
     by: dict[str, set[int]] = {}
     for item, text in items:
         for w in windows(text, width):
@@ -53,6 +68,17 @@ def automaton(items: list[tuple[int, str]], width: int) -> ahocorasick.Automaton
     return found
 
 
+def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges that overlap or touch, joined, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def scan(text: str | None, found: ahocorasick.Automaton | None) -> tuple[int, list[tuple[int, int]], set[int]]:
     """The number of words, the word ranges of matches united, and the items that occur."""
     words = normalise(text)
@@ -66,82 +92,179 @@ def scan(text: str | None, found: ahocorasick.Automaton | None) -> tuple[int, li
         first = int(np.searchsorted(gaps, end - length + 1))
         ranges.append((first, first + count))
         items.update(owners)
-    united: list[tuple[int, int]] = []
-    for a, b in sorted(ranges):
-        if united and a <= united[-1][1]:
-            united[-1] = (united[-1][0], max(b, united[-1][1]))
-        else:
-            united.append((a, b))
-    return len(words), united, items
+    return len(words), united(ranges), items
+
 
+def offsets(text: str | None, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Code points of the original text from the first to past the last word of each word range."""
+    if not ranges:
+        return []
+    at = [m.span() for m in _WORD.finditer(text or "")]
+    return [(at[a][0], at[b - 1][1]) for a, b in ranges]
 
-def word_offsets(text: str) -> list[tuple[int, int]]:
-    """Code point offsets of the words in the original text."""
-    out, start = [], None
-    for i, c in enumerate(text):
-        inside = c.isascii() and c.isalnum() or not c.isascii()
-        if inside and start is None:
-            start = i
-        elif not inside and start is not None:
-            out.append((start, i))
-            start = None
-    return [*out, (start, len(text))] if start is not None else out
 
+def _usable(items: DataFrame) -> DataFrame:
+    return items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
 
-def _parts(items: DataFrame, max_item_bytes: int) -> list[DataFrame]:
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // max_item_bytes) or 1
-    return [items] if parts == 1 else [items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k) for k in range(parts)]
 
+def _small(items: DataFrame, max_item_bytes: int) -> bool:
+    return (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) <= max_item_bytes
 
-def _scanned(documents: DataFrame, items: list[tuple[int, str]], width: int) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(items)
+
+def _scanned(documents: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """One automaton; one narrow pass over documents (doc_id, text)."""
+    shared = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in items.collect()])  # within the bound
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = automaton(shared.value, width)
         for batch in batches:
-            rows = [scan(t, found) for t in batch["text"].to_pylist()]
+            texts = batch["text"].to_pylist()
+            rows = [scan(t, found) for t in texts]
+            spans = [offsets(t, r[1]) for t, r in zip(texts, rows)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
                     pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([[{"first": a, "stop": b} for a, b in r[1]] for r in rows], pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))),
+                    pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
                     pa.array([sorted(r[2]) for r in rows], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_words", "ranges", "items"],
+                ["doc_id", "n_words", "ranges", "spans", "items"],
             )
 
-    return documents.select("doc_id", "text").mapInArrow(apply, "doc_id long, n_words long, ranges array<struct<first:long,stop:long>>, items array<long>")
+    return documents.mapInArrow(apply, f"doc_id long, n_words long, ranges {_RANGES}, spans {_SPANS}, items array<long>")
+
+
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each run of `width` words of one text's bytes; fewer words: none."""
+    data = K.LOWER[data]
+    starts, ends = K.spans(data, np.array([0, len(data)]), _KIND)
+    words, n = K.span_hashes(data, starts, ends), len(starts) - width + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    total = np.zeros(n, np.uint64)
+    for k in range(width):
+        total = total * _STEP + words[k : k + n]
+    return K.mix(total + np.uint64(width))
+
+
+def _joined(rows: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """(row, n_words, ranges, spans, items) for each of rows (row, text), by a join of windows."""
+    spark = rows.sparkSession
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist()):
+                own = list(dict.fromkeys(windows(text, width)))
+                if own:
+                    hashes = [window_hashes(np.frombuffer(w.encode("latin-1"), np.uint8), w.count(" ") - 1)[0] for w in own]
+                    n = [w.count(" ") - 1 for w in own]
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([item] * len(own), pa.int64()), pa.array(n, pa.int64()), pa.array(np.array(hashes, np.uint64).view(np.int64))], ["window", "item_id", "words", "hash"])
+
+    wanted = materialize(items.mapInArrow(listed, "window string, item_id long, words long, hash long").distinct(), "windows")
+    widths = sorted(r["words"] for r in wanted.select("words").distinct().collect())  # at most `width` rows
+    slot = F.shiftrightunsigned("hash", 64 - BITS) + 1
+    pages = wanted.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    marks = np.zeros((1 << BITS) // 8, np.uint8)  # 2 ** BITS / 8 bytes, whatever the benchmark's size
+    for r in pages.toLocalIterator():
+        marks[(r["page"] - 1) * _PAGE // 8 :][: _PAGE // 8] = np.frombuffer(r["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(marks)
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("window", pa.string())]))
+        for batch in batches:
+            counts, out = [], []
+            for text in batch["text"].to_pylist():
+                words = normalise(text)
+                data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+                found = []
+                for w in widths:
+                    place = window_hashes(data, w) >> np.uint64(64 - BITS)
+                    found += [(int(i), int(i) + w) for i in np.flatnonzero((shared.value[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1)]
+                at = offsets(text, found)
+                counts.append(len(words))
+                out.append([{"first": a, "stop": b, "start": c, "end": d, "window": f" {b' '.join(words[a:b]).decode('latin-1')} "} for (a, b), (c, d) in zip(found, at)])
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(counts, pa.int64()), pa.array(out, kind)], ["row", "n_words", "found"])
+
+    part = "struct<first:long,stop:long,start:long,end:long,window:string>"
+    each = materialize(rows.mapInArrow(candidates, f"row long, n_words long, found array<{part}>"), "candidates")
+    met = each.select("row", F.inline("found"))
+    owners = wanted.groupBy("window").agg(F.collect_set("item_id").alias("owners"))
+    keyed = owners.join(met.groupBy("window").agg(F.count("*").alias("n")), "window")
+    held = hot_left_join(met, keyed, "window", "row", met.count()).where(F.col("owners").isNotNull())
+    span = F.struct("first", "stop", "start", "end").alias("r")
+    own = held.groupBy("row").agg(F.array_sort(F.collect_set(span)).alias("all"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("owners")))).alias("items"))
+    last = lambda done: F.element_at(done, -1)
+    grown = lambda done, r: F.struct(
+        last(done)["first"].alias("first"), F.greatest(last(done)["stop"], r["stop"]).alias("stop"), last(done)["start"].alias("start"), F.greatest(last(done)["end"], r["end"]).alias("end")
+    )
+    whole = F.aggregate(
+        "all",
+        F.array().cast("array<struct<first:long,stop:long,start:long,end:long>>"),
+        lambda done, r: F.when((F.size(done) > 0) & (last(done)["stop"] >= r["first"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown(done, r)))).otherwise(F.concat(done, F.array(r))),
+    )
+    own = own.select("row", whole.alias("all"), "items")
+    ranges = F.transform("all", lambda r: F.struct(r["first"].alias("first"), r["stop"].alias("stop")))
+    spans = F.transform("all", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("stop")))
+    made = own.select("row", ranges.alias("ranges"), spans.alias("spans"), "items")
+    none = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
+    return each.select("row", "n_words").join(made, "row", "left").select("row", "n_words", none("ranges", _RANGES), none("spans", _SPANS), none("items", "array<long>"))
 
 
 def hits(documents: DataFrame, items: DataFrame, width: int = WIDTH, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
-    """(doc_id, n_words, ranges, items): disjoint word ranges hit, and the items with occurring windows."""
+    """(doc_id, n_words, ranges, spans, items) for each row: disjoint word ranges hit, their code points in the original text, and the items with occurring windows."""
     bounded_batches(documents.sparkSession)
-    items = items.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-    parts = [_scanned(documents, [tuple(r) for r in p.collect()], width) for p in _parts(items, max_item_bytes)]
-    if len(parts) == 1:
-        return parts[0]
-    # Parts see the same rows in the same order of columns; documents with hits in several are few.
-    table = parts[0]
-    for p in parts[1:]:
-        table = table.unionByName(p)
-    sorted_ranges = F.array_sort(F.flatten(F.collect_list("ranges")))
-    merged = F.aggregate(
-        sorted_ranges,
-        F.array().cast("array<struct<first:long,stop:long>>"),
-        lambda done, r: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= r["first"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["first"].alias("first"), F.greatest(F.element_at(done, -1)["stop"], r["stop"]).alias("stop")))),
-        ).otherwise(F.concat(done, F.array(r))),
-    )
-    return table.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), merged.alias("ranges"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    items = _usable(items)
+    if _small(items, max_item_bytes):
+        return _scanned(documents.select("doc_id", "text"), items, width)
+    rows = materialize(documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "rows")
+    return rows.select("doc_id", "row").join(_joined(rows.select("row", "text"), items, width), "row").drop("row")
+
+
+def clean(documents: DataFrame, items: DataFrame, width: int = WIDTH, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
+    """The rows of documents, with all their columns, that no window hits; each row is judged by its own text."""
+    spark = documents.sparkSession
+    bounded_batches(spark)
+    items = _usable(items)
+    if not _small(items, max_item_bytes):
+        rows = materialize(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"), F.monotonically_increasing_id().alias("row")), "rows")
+        hit = _joined(rows.select("row", F.col("own.text").alias("text")), items, width).where(F.size("ranges") > 0).select("row")
+        return rows.join(hit, "row", "left_anti").select("own.*")
+    shared = spark.sparkContext.broadcast([tuple(r) for r in items.collect()])  # within the bound
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = automaton(shared.value, width)
+        for batch in batches:
+            yield batch.filter(pa.array([not scan(t, found)[1] for t in batch["text"].to_pylist()], pa.bool_()))
+
+    return documents.mapInArrow(apply, documents.schema)
 
 
 def report(documents: DataFrame, items: DataFrame, width: int = WIDTH, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each document."""
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each row of documents."""
     found = hits(documents, items, width, max_item_bytes)
     n_hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda s, r: s + r["stop"] - r["first"])
     listed = F.concat_ws(",", F.array_sort(F.transform("items", lambda x: x.cast("string"))))
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated")
     )
+
+
+ORACLE = r"""
+with words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark where item_id is not null and text is not null),
+wanted as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') as win
+  from words, lateral (select unnest(range(1, greatest(1, len(w) - 9) + 1)) as i) where len(w) > 0),
+own as (
+  select row_number() over () as k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+sizes as (select distinct n from wanted),
+places as (select k, w, n, unnest(range(1, len(w) - n + 2)) as i from own, sizes where len(w) >= n),
+cut as (select k, n, i, array_to_string(w[i : i + n - 1], ' ') as win from places),
+met as (select k, n, i, item_id from cut join wanted using (n, win)),
+spots as (select k, count(distinct p) as n_hit from (select distinct k, unnest(range(i, i + n)) as p from met) group by k),
+held as (select k, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids from (select distinct k, item_id from met) group by k)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from own left join spots using (k) left join held using (k)"""
