@@ -15,7 +15,15 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C13)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
+def _powers_of(base: np.uint64) -> np.ndarray:
+    p = np.full(CHUNK_BYTES + 1, base, np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
+_POWERS, _INVERSES = _powers_of(_BASE), _powers_of(_INVERSE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -85,19 +93,26 @@ def spans(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple[np.nd
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
-    global _powers
-    if len(_powers[0]) < len(data) + 1:
-        size = max(2 * len(_powers[0]), len(data) + 1, CHUNK_BYTES + 4096)
-        grow = []
-        for base in (_BASE, _INVERSE):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            grow.append(np.multiply.accumulate(p))
-        _powers = (grow[0], grow[1])
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * _powers[0][: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * _powers[1][starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of the bytes of each span; spans are in order. Memory beyond the result is that of one block."""
+    out = np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = int(np.searchsorted(ends, starts[i] + CHUNK_BYTES, "right"))
+        first = int(starts[i])
+        if j > i:
+            block = data[first : ends[j - 1]]
+            total = np.zeros(len(block) + 1, np.uint64)
+            np.cumsum(_BYTE_VALUE[block] * _POWERS[: len(block)], out=total[1:])
+            out[i:j] = (total[ends[i:j] - first] - total[starts[i:j] - first]) * _INVERSES[starts[i:j] - first]
+            i = j
+            continue
+        for at in range(first, int(ends[i]), CHUNK_BYTES):  # a word longer than a block
+            block = data[at : min(at + CHUNK_BYTES, int(ends[i]))]
+            part = (_BYTE_VALUE[block] * _POWERS[: len(block)]).sum(dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                out[i] += part * np.uint64(pow(int(_BASE), at - first, 1 << 64))
+        i += 1
+    return mix(out + (ends - starts).astype(np.uint64))
 
 
 def owners(bounds: np.ndarray, starts: np.ndarray) -> np.ndarray:
