@@ -1,17 +1,22 @@
 """Secret scans: fixed patterns, and a randomness test battery over long unbroken runs.
 
 Patterns, leftmost and non-overlapping per kind: `assign`, `access` and `hex` (see PATTERNS). The battery looks
-at runs of 20 or more of `A-Za-z0-9+/_=-`. It infers an encoding (hex, base32, base64, alphanumeric) and makes
-two statements about a run:
+at runs of 20 or more of `A-Za-z0-9+/_=-`. It infers an encoding (hex, base32, base64, alphanumeric) and asks three
+questions of a run, each twice:
 
-* it fits a random string: a chi-squared test of uniform use of the alphabet, a runs test of high against low
-  symbols, and a serial-correlation test, each at level `fit` (Bonferroni over the three);
-* it doesn't fit text: the number of changes between lower case, upper case and digits is improbable for
-  written words. These p-values are for the run's own length, and Benjamini-Hochberg at `rate` over all runs
-  of the document controls the false discoveries.
+* uniformity: are the symbols used alike, or like the letters of written words?
+* runs: do high and low symbols, or cases, digits and marks, take turns as by chance, or as in words and names?
+* serial correlation: is a symbol independent of the one before, or do vowels and consonants alternate?
+
+Against written words, each answer is a likelihood ratio of the encoding's random strings to a fixed model of text
+in which the three are separate factors. If the run were text, their product would reach 1 / p with a chance of p at
+most, at any length, so 1 / product is a p-value that knows the run's length: evidence adds up with each symbol.
+Benjamini-Hochberg at `rate` over all runs of a document, with weights that grow with the logarithm of the length,
+controls the false discoveries. Against random strings, the classical tests (chi-squared, runs, serial correlation,
+and the share of marks) must not reject at level `fit`, Bonferroni over the four.
 
 Runs for which both hold become spans of kind `random`, unless a pattern's span overlaps them. Null texts are
-empty; texts are scanned whole; offsets are code points, ends exclusive.
+empty; texts are scanned whole; offsets are code points, ends exclusive. Rows with one doc_id are scanned apart.
 """
 
 from __future__ import annotations
@@ -40,10 +45,20 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: Lower-case strings one of which any match of `assign` holds.
 HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 RUN = 20
-FIT = 1e-4
+FIT = 0.02
 RATE = 1e-3
-#: Chance that neighbouring characters of a written word or identifier differ in kind.
-CHANGES = 0.06
+
+# Fixed values of the model of text: how often a letter occurs in European languages (percent, rounded), how often a
+# lower-case letter, capital, digit or mark follows each of these, how often a vowel follows a vowel or consonant, and
+# how often a symbol is the one before again.
+LETTERS = {
+    "e": 13.5, "a": 8.5, "n": 8.0, "i": 7.5, "s": 7.0, "r": 6.8, "t": 7.0, "o": 6.0, "l": 4.5, "d": 4.5, "u": 4.5, "h": 3.2, "c": 3.2,
+    "m": 2.7, "p": 2.2, "g": 1.9, "b": 1.6, "f": 1.5, "v": 1.5, "w": 1.1, "k": 1.0, "y": 0.9, "z": 0.8, "q": 0.6, "j": 0.5, "x": 0.4,
+}
+FOLLOWS = ((0.89, 0.05, 0.02, 0.04), (0.54, 0.36, 0.04, 0.06), (0.13, 0.10, 0.64, 0.13), (0.53, 0.22, 0.15, 0.10))
+VOWELS = "aeiouy"
+VOWEL_AFTER_VOWEL, VOWEL_AFTER_CONSONANT, VOWEL_FIRST = 0.18, 0.58, 0.4
+REPEATED = 0.04
 
 _ALNUM = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 _IN_RUN = np.zeros(256, np.uint8)
@@ -53,9 +68,12 @@ _IN_HEX[np.frombuffer(b"0123456789abcdef", np.uint8)] = 1
 _ALPHABETS = (
     ("hex", "0123456789abcdef"),
     ("hex", "0123456789ABCDEF"),
+    ("lower letters", "abcdefghijklmnopqrstuvwxyz"),
+    ("upper letters", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("lower", "abcdefghijklmnopqrstuvwxyz0123456789"),
     ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"),
+    ("letters", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("alphanumeric", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
@@ -73,7 +91,7 @@ def _normal_tail(z: float) -> float:
 
 
 def randomness(run: str) -> float:
-    """The least of the battery's p-values, times three, for a random string of the inferred encoding."""
+    """The least p-value of the four classical tests, times four, for a random string of the inferred encoding."""
     run = run.rstrip("=")
     kind = encoding(run)
     n = len(run)
@@ -99,7 +117,9 @@ def randomness(run: str) -> float:
     d = x - x.mean()
     power = float(d @ d)
     serial = _normal_tail((float(d[1:] @ d[:-1]) / power + 1 / n) * math.sqrt(n)) if power else 0.0
-    return min(1.0, 3 * min(uniform, turns, serial))
+    marks = [c for c in kind[1] if not c.isalnum()]
+    marked = at_least(n, sum(run.count(c) for c in marks), len(marks) / k) if marks else 1.0
+    return min(1.0, 4 * min(uniform, turns, serial, marked))
 
 
 def at_least(n: int, least: int, chance: float) -> float:
@@ -123,14 +143,59 @@ def at_least(n: int, least: int, chance: float) -> float:
     return tail if upper else 1 - tail
 
 
+def _logs() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By byte: its kind (lower, upper, digit, mark), whether a vowel, whether a letter, the log share among letters of its sort or digits."""
+    kind, vowel, letter, share = np.full(128, 3), np.zeros(128, bool), np.zeros(128, bool), np.zeros(128)
+    for c, p in LETTERS.items():
+        same = sum(q for d, q in LETTERS.items() if (d in VOWELS) == (c in VOWELS))
+        for x, k in ((c, 0), (c.upper(), 1)):
+            kind[ord(x)], vowel[ord(x)], letter[ord(x)], share[ord(x)] = k, c in VOWELS, True, math.log(p / same)
+    for c in "0123456789":
+        kind[ord(c)], share[ord(c)] = 2, math.log(0.1)
+    for c in "+/_=-":
+        share[ord(c)] = math.log(0.5)
+    return kind, vowel, letter, share
+
+
+_KIND_OF, _VOWEL_OF, _LETTER_OF, _SHARE_OF = _logs()
+
+
+def tests(run: str) -> tuple[float, float, float]:
+    """Log likelihood ratios of the inferred encoding's random strings to text: uniformity, runs, serial correlation."""
+    run = run.rstrip("=")
+    alphabet = encoding(run)
+    if alphabet is None or not run:
+        return -math.inf, 0.0, 0.0
+    own, x = np.frombuffer(alphabet[1].encode(), np.uint8), np.frombuffer(run.encode(), np.uint8)
+    kinds, vowels, letters = _KIND_OF[x], _VOWEL_OF[x], _LETTER_OF[x]
+    # The encoding, in the same factors: a kind, for letters vowel or consonant, and a symbol of that sort.
+    sort = lambda c: _KIND_OF[c] * 2 + _VOWEL_OF[c]
+    by_kind, by_sort = np.bincount(_KIND_OF[own], minlength=4), np.bincount(sort(own), minlength=8)
+    uniform = -np.log(by_sort[sort(x)]) - _SHARE_OF[x]
+    turns = np.append(0.0, np.log(by_kind[kinds[1:]] / len(own)) - np.log(np.array(FOLLOWS))[kinds[:-1], kinds[1:]])
+    v = vowels[letters]
+    before = np.where(v[:-1], VOWEL_AFTER_VOWEL, VOWEL_AFTER_CONSONANT)
+    text = np.append(VOWEL_FIRST, before)[: len(v)]
+    serial = np.zeros(len(x))
+    serial[letters] = np.log(by_sort[sort(x)] / by_kind[kinds])[letters] - np.log(np.where(v, text, 1 - text))
+    # Text repeats a symbol with the chance REPEATED, or else goes on as above.
+    chance = np.exp(-math.log(len(own)) - uniform - turns - serial)
+    again = np.append(False, x[1:] == x[:-1])
+    serial -= np.log1p(-REPEATED + np.where(again, REPEATED / chance, 0.0))
+    return float(uniform.sum()), float(turns.sum()), float(serial.sum())
+
+
 def unlike_text(run: str) -> float:
-    """The chance of as many changes of character kind in text of this length."""
-    kind = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in run]
-    return at_least(len(run) - 1, sum(a != b for a, b in zip(kind, kind[1:])), CHANGES)
+    """A p-value of the run under the model of text."""
+    return math.exp(min(0.0, -sum(tests(run))))
 
 
-def discoveries(p: list[float], rate: float = RATE) -> list[bool]:
-    """Benjamini-Hochberg: which hypotheses are rejected."""
+def discoveries(p: list[float], rate: float = RATE, lengths: list[int] | None = None) -> list[bool]:
+    """Benjamini-Hochberg: which hypotheses are rejected; weights grow with the logarithm of the length, and are 1 on average."""
+    if lengths:
+        weight = [math.log2(1 + n) for n in lengths]
+        mean = sum(weight) / len(weight)
+        p = [x * mean / w for x, w in zip(p, weight)]
     order = sorted(range(len(p)), key=p.__getitem__)
     last = max((k + 1 for k, i in enumerate(order) if p[i] <= rate * (k + 1) / len(p)), default=0)
     out = [False] * len(p)
@@ -159,7 +224,7 @@ def random_spans(text: str, runs: list[tuple[int, int]], taken: list[tuple[str,
     p = [unlike_text(text[a:b]) for a, b in runs]
     return [
         ("random", a, b)
-        for (a, b), found in zip(runs, discoveries(p, rate))
+        for (a, b), found in zip(runs, discoveries(p, rate, [b - a for a, b in runs]))
         if found and randomness(text[a:b]) > fit and not any(s < b and a < e for _, s, e in taken)
     ]
 
