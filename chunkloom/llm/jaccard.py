@@ -318,11 +318,38 @@ def representatives(documents: DataFrame, least: int = LEAST, of: int = OF, size
     _, classes = grouped(documents, least, of, size)
     best = classes.groupBy("root").agg(F.min(F.struct("later", "doc_id", "cls", "at", "n")).alias("best"))
     best = materialize(best.select(F.col("best.doc_id").alias("_id"), F.col("best.at").alias("_at"), F.col("best.n").alias("_n")), "best")
-    words = F.length(F.translate(F.coalesce("text", F.lit("")), " \t\n\v\f\r", "")) > 0
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_at"))
-    full = documents.where(words)
-    kept = documents.where(~words).unionByName(full.join(best.where("_n = 1"), match, "left_semi"))
+    # Documents travel as one column, so that no name of theirs meets one from here.
+    held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"))
+    words = F.length(F.translate(F.coalesce("own.text", F.lit("")), " \t\n\v\f\r", "")) > 0
+    match = F.col("own.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("own.text") == F.col("_at"))
+    full = held.where(words)
+    kept = held.where(~words).unionByName(full.join(best.where("_n = 1"), match, "left_semi"))
     repeated = best.where("_n > 1")
-    if repeated.isEmpty():
-        return kept
-    return kept.unionByName(full.join(repeated, match, "left_semi").dropDuplicates(["doc_id", "text"]))
+    if not repeated.isEmpty():
+        again = full.join(repeated, match, "left_semi").withColumns({"_id": F.col("own.doc_id"), "_text": F.col("own.text")})
+        kept = kept.unionByName(again.dropDuplicates(["_id", "_text"]).select("own"))
+    return kept.select("own.*")
+
+
+ORACLE = f"""
+with recursive cut as (
+  select row_number() over () as k, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents),
+sets as (
+  select k, doc_id, case when len(w) >= {SIZE} then list_sort(list_distinct(list_transform(range(1, len(w) - {SIZE - 2}), lambda i: array_to_string(w[i : i + {SIZE - 1}], ' '))))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s
+  from cut),
+rows as (select k, doc_id, len(s) as n, case when len(s) > 0 then sha256(array_to_string(s, chr(10))) end as c from sets),
+classes as (select c, any_value(n) as n, min(k) as k from rows where c is not null group by c),
+tokens as (select c, n, unnest(s) as t from classes join sets using (k)),
+pairs as (
+  select a.c as a, b.c as b, a.n + b.n as total, count(*) as common from tokens a join tokens b on a.t = b.t and a.c < b.c
+  where {OF} * least(a.n, b.n) >= {LEAST} * greatest(a.n, b.n) group by a.c, b.c, a.n, b.n),
+links as (select a, b from pairs where {OF} * common >= {LEAST} * (total - common)),
+steps as (select a, b from links union all select b, a from links),
+reach as (select c, c as r from classes union select steps.b, reach.r from reach join steps on steps.a = reach.c),
+roots as (select c, min(r) as root from reach group by c),
+least_id as (select root, min(doc_id) as component from rows join roots using (c) group by root)
+select doc_id, n::bigint as n_shingles, coalesce(component, doc_id) as component_id
+from rows left join roots using (c) left join least_id using (root)"""

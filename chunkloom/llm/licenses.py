@@ -122,3 +122,27 @@ def matches(documents: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPL
 
 def report(documents: DataFrame) -> DataFrame:
     return matches(documents)
+
+
+def _sql() -> str:
+    """The fixed templates sought in every window of the table documents."""
+    rows = ", ".join(f"""('{n}', '{t.replace("'", "''")}')""" for n, t in TEMPLATES)
+    split = "list_filter(regexp_split_to_array(lower(coalesce({0}, '')), '[^a-z0-9]+'), lambda x: x <> '')"
+    return f"""
+with templates as (select license, {split.format("text")} as w from (values {rows}) t(license, text)),
+sought as (select distinct license, unnest(list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i : i + {SHINGLE - 1}], ' '))) as s from templates),
+sizes as (select license, count(*) as m, pow(2, ceil(log2(count(*))))::bigint as span from sought group by license),
+cut as (select row_number() over () as k, doc_id, {split.format("text")} as w from documents),
+places as (select k, doc_id, w, len(w) as n, unnest(range(0, len(w) - {SHINGLE - 1})) as p from cut where len(w) >= {SHINGLE}),
+hits as (
+  select k, doc_id, license, p, s, m, span, greatest(n - {SHINGLE}, 0) // span as last
+  from (select k, doc_id, n, p, array_to_string(w[p + 1 : p + {SHINGLE}], ' ') as s from places) join sought using (s) join sizes using (license)),
+windows as (
+  select k, doc_id, license, (p // span - b) * span as place, m, s, p from hits, (values (0), (1)) v(b)
+  where p // span - b between 0 and last),
+held as (select k, doc_id, license, place, count(distinct s) / any_value(m) as containment, min(p) as first from windows group by k, doc_id, license, place)
+select doc_id, license, max(containment) as containment, min(first)::bigint as first_word, count(distinct place)::bigint as n_windows
+from held where containment >= {CONTAINED} group by doc_id, license"""
+
+
+ORACLE = _sql()

@@ -52,6 +52,9 @@ QUERIES = {f.__name__: f for f in (op1_topk_search, op2_packing, op3_license_sca
 
 ORACLE_SQL = {
     "op1_topk_search": topk.ORACLE,
+    "op3_license_scan": licenses.ORACLE,
     "op4_chat_formatting": chat.ORACLE,
+    "op5_jaccard_join": jaccard.ORACLE,
     "op6_url_filter": urls.ORACLE,
+    "op9_decontamination": decontaminate.ORACLE,
 }
