@@ -1,8 +1,12 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
 
 quality: documents that the classifier rejects go. near_duplicates: one document of each component stays, the one
-with the smallest doc_id; a null doc_id comes last, and rows that share a doc_id are documents of their own. decontamination: documents with a benchmark window go. secrets: spans found are replaced
-by a mark, and n_chars follows. packing: what is kept becomes packed sequences.
+with the smallest doc_id; a null doc_id comes last, and rows that share a doc_id are documents of their own.
+decontamination: documents with a benchmark window go. secrets: spans found are replaced by a mark, and n_chars
+follows. packing: what is kept becomes packed sequences.
+
+Each row is judged by its own text, whatever its doc_id, and null texts are empty ones. Columns besides those of
+documents pass through the first four stages unchanged, whatever their names. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -16,21 +20,20 @@ from chunkloom.llm.common import materialize, table
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where(F.col("score") >= 0.5).select(*docs.columns)
+    return quality.kept(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.representatives(docs).select(*docs.columns)
+    return jaccard.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hit = decontaminate.hits(docs, table(spark, sf_dir, "benchmark")).where(F.size("ranges") > 0).select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = secrets.redacted(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
