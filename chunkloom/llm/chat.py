@@ -1,26 +1,31 @@
 """Chat formatting by schema fingerprints, with DataFrame functions only.
 
-Records are JSON-like values of any layout. The nested field paths of a record, sorted and joined, are hashed to a
-fingerprint; a declarative mapping for that fingerprint converts the record to turns (role, text). Mappings cover
-flat prompt and completion pairs, instruction layouts with and without input, and message lists under several
-names; more can be passed in. Records without a mapping have no turns and keep their fingerprint, for review.
+Records have any layout: a variant, or a struct whose absent fields are null, as a scan of JSON files gives. The nested
+field paths that a record holds, sorted and joined, are hashed to a fingerprint; a declarative mapping for that
+fingerprint converts the record to turns (role, text). Mappings cover flat prompt and completion pairs, instruction
+layouts with and without input, and message lists under several names; more can be passed in. Records without a
+mapping have no turns and keep their fingerprint, for review.
 
 Template, per turn: `<|im_start|>role\\ntext<|im_end|>\\n`. Inside roles and texts every `<`, any number of
 backslashes and `|` gets one backslash more before the `|`, so that no control string can occur there and the
 change can be undone; in roles `%` and line breaks are written as `%25` and `%0A` besides. The loss mask covers the
 texts of assistant turns, as ranges of code points of the formatted string.
 
-Null texts are empty, null roles are empty. Turns are ordered by turn number, then role, then text; rows repeated
-are turns repeated. A conversation is one output row, as its format is one string. Rows with a null conversation
-id form a conversation of their own.
+Null texts are empty, null roles are empty. Turns are ordered by turn number (nulls first), then role, then text; rows
+repeated are turns repeated. A conversation is one output row, as its format is one string, so it has to stay under the
+2 GB of a Spark string; a variant holds 128 MB, so tables of turns are gathered as structs. Rows with a null
+conversation id form a conversation of their own, and rows of conversation -1 join the added one. Other columns are not
+read.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -29,29 +34,42 @@ _TURNS = "array<struct<role:string,text:string>>"
 
 @dataclass(frozen=True)
 class Mapping:
-    """Field paths of a layout, and SQL over the variant `record` that gives its turns."""
+    """A layout: single fields by role, those of one role joined by an empty line; or a list of messages with the names of its fields."""
 
-    paths: tuple[str, ...]
-    turns: str
+    singles: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    messages: tuple[str, str, str] | None = None
+    others: tuple[str, ...] = ()
+    names: dict[str, str] = field(default_factory=dict)
+
+    @property
+    def paths(self) -> tuple[str, ...]:
+        if self.messages:
+            at, role, text = self.messages
+            return tuple(f"$.{at}[].{f}" for f in (role, text, *self.others))
+        return tuple(f"$.{f}" for _, fields in self.singles for f in fields)
 
     @property
     def key(self) -> str:
         return "\n".join(sorted(self.paths))
 
+    def turns(self, single: Callable[[str], Column], messages: Callable[[str, str, str], Column]) -> Column:
+        """Turns by functions that read a field, and a list of messages (r, t)."""
+        if self.messages:
+            known = F.create_map(*[F.lit(x) for pair in self.names.items() for x in pair]) if self.names else None
+            role = lambda r: F.coalesce(known[r], r) if known is not None else r
+            return F.transform(messages(*self.messages), lambda m: F.struct(role(m["r"]).alias("role"), m["t"].alias("text"))).cast(_TURNS)
+        parts = [(role, F.concat_ws("\n\n", *[F.nullif(single(f), F.lit("")) for f in fields]) if len(fields) > 1 else single(fields[0])) for role, fields in self.singles]
+        return F.array(*[F.struct(F.lit(role).alias("role"), text.alias("text")) for role, text in parts]).cast(_TURNS)
+
 
 def flat(*turns: tuple[str, str]) -> Mapping:
     """A layout of single fields: (role, field) in order."""
-    made = ", ".join(f"named_struct('role', '{r}', 'text', try_variant_get(record, '$.{f}', 'string'))" for r, f in turns)
-    return Mapping(tuple(f"$.{f}" for _, f in turns), f"array({made})")
+    return Mapping(singles=tuple((role, (f,)) for role, f in turns))
 
 
-def listed(field: str, role: str, text: str, *others: str, names: dict[str, str] | None = None) -> Mapping:
-    """A layout with a list of messages under `field`; names: roles to rename."""
-    renamed = "x.r" if not names else "coalesce(map(" + ", ".join(f"'{a}', '{b}'" for a, b in names.items()) + ")[x.r], x.r)"
-    at = f"$.{field}[]"
-    kind = f"array<struct<`{role}`:string,`{text}`:string>>"
-    source = f"transform(try_variant_get(record, '$.{field}', '{kind}'), y -> named_struct('r', y.`{role}`, 't', y.`{text}`))"
-    return Mapping((f"{at}.{role}", f"{at}.{text}", *[f"{at}.{o}" for o in others]), f"transform({source}, x -> named_struct('role', {renamed}, 'text', x.t))")
+def listed(at: str, role: str, text: str, *others: str, names: dict[str, str] | None = None) -> Mapping:
+    """A layout with a list of messages under `at`; names: roles to rename."""
+    return Mapping(messages=(at, role, text), others=others, names=names or {})
 
 
 SHARED = {"human": "user", "gpt": "assistant", "bot": "assistant"}
@@ -61,11 +79,7 @@ MAPPINGS = (
     flat(("user", "question"), ("assistant", "answer")),
     flat(("system", "system"), ("user", "prompt"), ("assistant", "response")),
     flat(("user", "instruction"), ("assistant", "output")),
-    Mapping(
-        ("$.instruction", "$.input", "$.output"),
-        "array(named_struct('role', 'user', 'text', concat_ws('\\n\\n', try_variant_get(record, '$.instruction', 'string'), nullif(try_variant_get(record, '$.input', 'string'), ''))), "
-        "named_struct('role', 'assistant', 'text', try_variant_get(record, '$.output', 'string')))",
-    ),
+    Mapping(singles=(("user", ("instruction", "input")), ("assistant", ("output",)))),
     listed("messages", "role", "content"),
     listed("conversations", "from", "value", names=SHARED),
     listed("turns", "role", "text"),
@@ -73,7 +87,7 @@ MAPPINGS = (
 )
 
 
-def paths(record: Column) -> Column:
+def variant_paths(record: Column) -> Column:
     """The nested field paths of a variant, from its schema: `$.a.b` for fields, `[]` for lists, in order."""
     # The schema reads OBJECT<a: ARRAY<OBJECT<b: STRING>>, c: STRING>. Names of open objects stack up.
     schema = F.schema_of_variant(record)
@@ -98,16 +112,51 @@ def paths(record: Column) -> Column:
     return F.array_sort(F.array_distinct(F.aggregate(steps, start, step)["found"]))
 
 
-def fingerprint(record: Column) -> Column:
-    return F.xxhash64(F.array_join(paths(record), "\n"))
+def leaves(kind: T.DataType) -> list[tuple[str, Callable[[Column], Column]]]:
+    """The path below a value of this type to each of its leaves, and whether a value holds one that isn't null."""
+    if isinstance(kind, T.StructType):
+        return [(f".{f.name}{path}", lambda v, f=f, held=held: held(v.getField(f.name))) for f in kind.fields for path, held in leaves(f.dataType)]
+    if isinstance(kind, T.ArrayType):
+        return [(f"[]{path}", lambda v, held=held: F.exists(v, lambda x: held(x))) for path, held in leaves(kind.elementType)]
+    return [("", lambda v: v.isNotNull())]
+
+
+def paths(record: Column, kind: T.DataType) -> Column:
+    """The nested field paths that a record of this type holds, in order."""
+    if isinstance(kind, T.VariantType):
+        return variant_paths(record)
+    return F.array_sort(F.array_compact(F.array(*[F.when(held(record), f"${path}") for path, held in leaves(kind)])))
+
+
+def fingerprint(record: Column, kind: T.DataType) -> Column:
+    return F.xxhash64(F.array_join(paths(record, kind), "\n"))
+
+
+def _readers(kind: T.DataType) -> tuple[Callable[[str], Column], Callable[[str, str, str], Column]]:
+    """How single fields and messages are read from the column `record`."""
+    if isinstance(kind, T.VariantType):
+
+        def messages(at: str, role: str, text: str) -> Column:
+            found = F.try_variant_get("record", f"$.{at}", f"array<struct<`{role}`:string,`{text}`:string>>")
+            return F.transform(found, lambda m: F.struct(m[role].alias("r"), m[text].alias("t")))
+
+        return lambda f: F.try_variant_get("record", f"$.{f}", "string"), messages
+
+    def typed(at: str, role: str, text: str) -> Column:
+        return F.transform(F.col("record").getField(at), lambda m: F.struct(m.getField(role).cast("string").alias("r"), m.getField(text).cast("string").alias("t")))
+
+    return lambda f: F.col("record").getField(f).cast("string"), typed
 
 
 def turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """records (record: variant, and others) with `fingerprint` and `turns`; no mapping: null turns."""
-    known = records.withColumn("fingerprint", fingerprint(F.col("record")))
+    """records (record: variant or struct, and others) with `fingerprint` and `turns`; no mapping: null turns."""
+    kind = records.schema["record"].dataType
+    known = records.withColumn("fingerprint", fingerprint(F.col("record"), kind))
+    held = None if isinstance(kind, T.VariantType) else {f"${path}" for path, _ in leaves(kind)}
     made = F.lit(None).cast(_TURNS)
     for m in mappings:
-        made = F.when(F.col("fingerprint") == F.xxhash64(F.lit(m.key)), F.expr(m.turns).cast(_TURNS)).otherwise(made)
+        if held is None or held.issuperset(m.paths):  # others can't occur
+            made = F.when(F.col("fingerprint") == F.xxhash64(F.lit(m.key)), m.turns(*_readers(kind))).otherwise(made)
     return known.withColumn("turns", made)
 
 
@@ -163,11 +212,11 @@ def read_back(text: Column) -> Column:
 
 
 def gathered(conversations: DataFrame) -> DataFrame:
-    """(conv_id, record): the rows of each conversation as one variant, in order of turns."""
+    """(conv_id, record): the rows of each conversation as one struct, in order of turns."""
     row = F.struct(F.col("turn").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     own = F.array_sort(F.collect_list(row))
     plain = F.transform(own, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return conversations.groupBy("conv_id").agg(F.to_variant_object(F.struct(plain.alias("turns"))).alias("record"))
+    return conversations.groupBy("conv_id").agg(F.struct(plain.alias("turns")).alias("record"))
 
 
 def chat(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:

@@ -8,10 +8,13 @@ summary of each cell holds its size and radius. A query needs a cell only if
 
 which no row of another cell can reach. Cells are split into blocks of about BLOCK classes, and queries into
 groups of about QUERIES, by their own nearest pivot. A block goes to the query groups that need it, each pair of
-group and block is solved on its own, and the best of all pairs are merged per query.
+group and block is solved on its own, where only scores that reach the query's sample score are kept, and the best of
+all pairs are merged per query. How much a bound can leave out depends on the vectors: where they lie in clusters,
+whole cells go; where they fill all directions alike, as random ones do, each query needs nearly every cell.
 
-Vectors that are null, or hold null or non-finite components, take no part. Vectors of different lengths never
-meet. Repeated rows of an id with equal vectors count once. Fewer than k candidates: all are returned.
+Vectors that are null, or hold null or non-finite components, take no part, nor do null ids. Vectors of different
+lengths never meet; lengths that the sample lacks share SPARE cells around 0. Repeated rows of an id with equal
+vectors count once. Fewer than k candidates: all are returned. Columns besides vec_id and embedding are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +30,12 @@ from pyspark.sql import functions as F
 
 from chunkloom.llm.common import bounded_batches, materialize
 
-BLOCK = 4096
+BLOCK = 512
 QUERIES = 4096
 #: Bytes of the sample of classes that is sent to the driver and to tasks; pivots are its first rows.
 SAMPLE_BYTES = 4 << 20
-PIVOTS = 256
+PIVOTS = 1024
+SPARE = 1024
 
 
 def integers(embedding: Column, scale: int = 64) -> Column:
@@ -85,7 +89,7 @@ class Cells:
             at += len(self.pivots[n])
 
     def of(self, n: int) -> tuple[np.ndarray, int]:
-        return (self.pivots[n], self.first[n]) if n in self.pivots else (np.zeros((1, n)), -1 - n)
+        return (self.pivots[n], self.first[n]) if n in self.pivots else (np.zeros((1, n)), -1 - n % SPARE)
 
     def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         pivots, first = self.of(vectors.shape[1])
@@ -126,7 +130,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, block: int = BLOCK,
 
     placed = materialize(classes.select("cls", "v").mapInArrow(assign, "cls long, v array<long>, cell long, far double"), "placed")
     solved = asked.select("cls").distinct().join(placed, "cls")
-    # One row a cell: at most PIVOTS for each vector length.
+    # One row a cell: at most PIVOTS for each vector length in the sample, and SPARE.
     size = {r["cell"]: (r["n"], r["far"]) for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
     homes = {r["cell"]: r["n"] for r in solved.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     blocks = {c: max(1, math.ceil(m / block)) for c, (m, _) in size.items()}
@@ -149,7 +153,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, block: int = BLOCK,
                 norm = np.sqrt((v.astype(float) ** 2).sum(1))
                 here = [c for c in range(first, first + len(pivots)) if c in size]
                 bound = v.astype(float) @ pivots.T[:, [c - first for c in here]] + norm[:, None] * np.array([size[c][1] for c in here])
-                least = np.full(len(v), -np.inf)
+                least = np.full(len(v), np.iinfo(np.int64).min)
                 near = known.sample.get(length)
                 if near is not None and len(near) > k:
                     least = np.partition(products(v, near), len(near) - k - 1, axis=1)[:, len(near) - k - 1]
@@ -163,13 +167,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, block: int = BLOCK,
                     r = rows[lo : lo + 4096]
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1) * length, pa.int32()), pa.array(v[r].ravel().astype(np.int64)))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[at][r]), lists, pa.array(team[r]), pa.array(cell[lo : lo + 4096]), pa.array(part[lo : lo + 4096])], ["cls", "v", "team", "cell", "part"]
+                        [pa.array(ids[at][r]), lists, pa.array(least[r]), pa.array(team[r]), pa.array(cell[lo : lo + 4096]), pa.array(part[lo : lo + 4096])],
+                        ["cls", "v", "least", "team", "cell", "part"],
                     )
 
-    routed = solved.select("cls", "v", "cell").mapInArrow(route, "cls long, v array<long>, team long, cell long, part long")
+    routed = solved.select("cls", "v", "cell").mapInArrow(route, "cls long, v array<long>, least long, team long, cell long, part long")
     routed = materialize(routed, "routed")
-    in_block = F.create_map(*[F.lit(x) for c in blocks for x in (c, blocks[c])])[F.col("cell")] if blocks else F.lit(1)
-    data = placed.withColumn("part", F.pmod(F.xxhash64("cls"), in_block.cast("long")))
+    in_block = F.broadcast(spark.createDataFrame(list(blocks.items()), "cell long, blocks long"))  # a row a cell
+    data = placed.join(in_block, "cell").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     pairs = routed.select(F.col("team").alias("to_team"), F.col("cell").alias("to_cell"), F.col("part").alias("to_part")).distinct()
     sent = data.join(pairs, (F.col("cell") == F.col("to_cell")) & (F.col("part") == F.col("to_part"))).select("cls", "v", "to_team", "to_cell", "to_part")
 
@@ -178,14 +183,15 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, block: int = BLOCK,
         if asked.num_rows and held.num_rows:
             q, d = asked["v"].combine_chunks(), held["v"].combine_chunks()
             left, right = by_length(q), by_length(d)
-            q_ids, d_ids = asked["cls"].to_numpy(), held["cls"].to_numpy()
+            q_ids, d_ids, least = asked["cls"].to_numpy(), held["cls"].to_numpy(), asked["least"].to_numpy()
             found: list[list[np.ndarray]] = [[], [], []]
             for length in left.keys() & right.keys():
                 (qi, qv), (di, dv) = left[length], right[length]
                 for lo in range(0, len(qi), 512):
                     scores = products(qv[lo : lo + 512], dv)
                     for row, i in zip(scores, qi[lo : lo + 512]):
-                        top = best(row, d_ids[di], k + 1)
+                        near = np.flatnonzero(row >= least[i])
+                        top = near[best(row[near], d_ids[di][near], k + 1)]
                         found[0].append(np.full(len(top), q_ids[i]))
                         found[1].append(d_ids[di][top])
                         found[2].append(row[top])

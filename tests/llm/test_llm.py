@@ -64,7 +64,7 @@ def test_topk_with_ties_repeats_and_bad_vectors(spark):
     bad = [(500, None, 0), (520, [1.0, None, 0.0, 0.0], 0), (540, [float("nan")] * 4, 0), (560, [float("inf")] * 4, 0), (580, [1.0, 2.0], 0), (None, [1.0] * 4, 0), (0, rows[0][1], 0)]
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, score int")
     got = {}
-    vectors = df.where(topk.usable(F.col("embedding"))).select("vec_id", topk.integers(F.col("embedding")).alias("v"))
+    vectors = df.where(topk.usable(F.col("embedding"))).select("vec_id", topk.integers(F.col("embedding")).alias("v"), F.lit(1).alias("cls"), F.lit("x").alias("cell"))
     for r in topk.search(vectors, F.col("vec_id") % 20 == 0, 5, block=16, group=4).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     ok = {i: np.floor(np.array(v) * 64).astype(int) for i, v, _ in rows}
@@ -77,6 +77,22 @@ def test_topk_with_ties_repeats_and_bad_vectors(spark):
     assert topk.top_scores(df.limit(0)).count() == 0
 
 
+def test_topk_with_many_lengths_and_little_sample(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SAMPLE_BYTES", 4000)
+    monkeypatch.setattr(topk, "SPARE", 3)
+    rnd = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rnd.integers(-9, 9, 1 + i % 40 if i % 3 else 8)], "c") for i in range(600)] + [(1000, [1.0] * 30000, "long"), (1001, [2.0] * 30000, "long")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
+    got = {}
+    vectors = df.select("vec_id", topk.integers(F.col("embedding")).alias("v"))
+    for r in topk.search(vectors, F.col("vec_id") % 20 == 0, 4, block=25, group=7).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for i, v, _ in rows:
+        if i % 20 == 0:
+            same = sorted((-int(4096 * (np.array(v) @ np.array(w))), j) for j, w, _ in rows if j != i and len(v) == len(w))[:4]
+            assert sorted(got.get(i, [])) == [(k + 1, j, -s) for k, (s, j) in enumerate(same)]
+
+
 def test_patterns_place_every_piece():
     rnd = random.Random(2)
     for _ in range(20):
@@ -208,6 +224,20 @@ def test_layouts_by_fingerprint(spark):
     df = spark.createDataFrame([(i, json.dumps(r)) for i, (r, _) in enumerate(records)], "id int, j string").select("id", F.parse_json("j").alias("record"))
     got = {r["id"]: r["turns"] and [tuple(t) for t in r["turns"]] for r in chat.turns(df).select("id", "turns").collect()}
     assert got == {i: t for i, (_, t) in enumerate(records)}
+    # The same as structs in which absent fields are null.
+    kind = "prompt string, completion string, instruction string, input string, output string, messages array<struct<role:string,content:string>>, conversations array<struct<`from`:string,value:string>>, something int"
+    typed = spark.createDataFrame([(i, json.dumps(r)) for i, (r, _) in enumerate(records)], "id int, j string").select("id", F.from_json("j", kind).alias("record"))
+    same = chat.turns(typed).select("id", "turns", "fingerprint").collect()
+    assert {r["id"]: r["turns"] and [tuple(t) for t in r["turns"]] for r in same} == got
+    marks = {r["id"]: r["fingerprint"] for r in chat.turns(df).select("id", "fingerprint").collect()}
+    assert {r["id"]: r["fingerprint"] for r in same} == marks and len(set(marks.values())) == len(records)
+
+
+def test_chat_with_null_ids_clashing_columns_and_the_added_id(spark):
+    rows = [(None, 0, "user", "a", 1, "x"), (None, 1, "assistant", "b", 2, "y"), (-1, 5, "assistant", "mine", 3, "z"), (4, None, "assistant", "x" * 200_000, 4, "w"), (4, None, "assistant", "x" * 200_000, 4, "w")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, record int, turns string")
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in chat.report(df).collect()}
+    assert got == {None: (2, 1), -1: (3, len(chat.EXTRA) + 4), 4: (2, 400_000)}
 
 
 def brute_jaccard(texts):
