@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.jobs.base import Jobs
+from chunkloom.jobs.labels import _MET
 from chunkloom.operators import graphs as G
 from chunkloom.operators import labels as L
 from chunkloom.sources import adapters as A
@@ -14,12 +15,10 @@ JOBS = Jobs()
 
 
 @JOBS.add(
-    """also links as (select distinct least(a.label, b.label) as a, greatest(a.label, b.label) as b from voxels a join voxels b
-    on (b.z = a.z + 1 and b.y = a.y and b.x = a.x) or (b.z = a.z and b.y = a.y + 1 and b.x = a.x) or (b.z = a.z and b.y = a.y and b.x = a.x + 1)
-  where a.label > 0 and b.label > 0 and a.label <> b.label and a.label // 64 = b.label // 64 and (a.label + b.label) % 3 > 0),
+    f"""{_MET}, links as (select distinct least(p, q) as a, greatest(p, q) as b from met where p > 0 and q > 0 and p <> q and p // 64 = q // 64 and (p + q) % 3 > 0),
 both_ways as (select a, b from links union select b, a from links),
 reach(node, root) as (select a, a from both_ways union select b, root from reach join both_ways on a = node)
-select node, min(root) as root from reach group by node""".replace("also links", "also links"),
+select node, min(root) as root from reach group by node""",
     "voxels",
 )
 def merged_label_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,14 +91,13 @@ def combined_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @JOBS.add(
-    """also links as (select distinct fixed, moving from edges where accepted and (fixed + moving) % 23 = 0), both_ways as (select fixed, moving from links union select moving, fixed from links),
+    """also links as (select distinct fixed, moving from edges where accepted), both_ways as (select fixed, moving from links union select moving, fixed from links),
 reach(node, depth) as (select 0::bigint, 0 union select moving, depth + 1 from reach join both_ways on fixed = node where depth < 24)
 select node, min(depth) as depth from reach group by 1""",
     "edges",
 )
 def anchor_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = A.edges(spark, sf_dir)
-    return G.depths(edges.where((F.col("fixed") + F.col("moving")) % 23 == 0), 0)
+    return G.depths(A.edges(spark, sf_dir), 0)
 
 
 JOBS.sql["anchor_depths"] = JOBS.sql["anchor_depths"].replace("with edges", "with recursive edges", 1)

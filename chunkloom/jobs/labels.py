@@ -10,7 +10,7 @@ from chunkloom.operators import labels as L
 from chunkloom.sources import adapters as A
 
 JOBS = Jobs()
-SMALL = 18
+SMALL = 12
 
 
 @JOBS.add(
@@ -22,6 +22,32 @@ def label_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.finish(L.merge_moments(parts))
 
 
+@JOBS.add(
+    """also planes as (select label, z, count(*) as plane_area from voxels where label > 0 group by label, z),
+ranked as (select *, abs(z * sum(plane_area) over w - sum(z * plane_area) over w) as far from planes window w as (partition by label)),
+best as (select label, z as plane_z, plane_area from ranked qualify row_number() over (partition by label order by plane_area desc, far, z) = 1)
+select label, count(*) as area, any_value(plane_z) as plane_z, any_value(plane_area) as plane_area from voxels join best using (label) group by label""",
+    "voxels",
+)
+def measured_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label with its plane, checked both ways."""
+    voxels = A.voxels(spark, sf_dir)
+    moments = L.merge_moments(L.partial_moments(voxels)).select("label", "area")
+    return L.with_planes(moments, L.representative_plane(voxels)).select("label", "area", "plane_z", "plane_area")
+
+
+@JOBS.add(
+    """also marked as (select label, case when v % 1000 < 15 then null else v end as v from voxels where label > 0)
+select label, count(*) as area, count(*) > count(v) as has_nan, case when count(*) = count(v) then sum(v) / count(*) end as mean, case when count(*) = count(v) then min(v)::double end as least, case when count(*) = count(v) then max(v)::double end as most from marked group by label""",
+    "voxels",
+)
+def moments_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments of intensities of which some are NaN; the query's rows have a flag and null for NaN."""
+    v = F.when(F.col("v") % 1000 < 15, F.lit(float("nan"))).otherwise(F.col("v").cast("double"))
+    found = L.float_moments(A.voxels(spark, sf_dir).withColumn("v", v))
+    return found.select("label", "area", F.isnan("mean").alias("has_nan"), *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in ("mean", "least", "most")])
+
+
 @JOBS.add("select label, z, count(*) as area from voxels where label > 0 group by label, z", "voxels")
 def label_plane_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.voxels(spark, sf_dir).where(F.col("label") > 0).groupBy("label", "z").agg(F.count("*").alias("area"))
@@ -37,10 +63,11 @@ def representative_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.representative_plane(A.voxels(spark, sf_dir))
 
 
-_CONTACTS = """also contacts as (
-  select least(a.label, b.label) as a, greatest(a.label, b.label) as b, count(*) as n from voxels a join voxels b
-    on (b.z = a.z + 1 and b.y = a.y and b.x = a.x) or (b.z = a.z and b.y = a.y + 1 and b.x = a.x) or (b.z = a.z and b.y = a.y and b.x = a.x + 1)
-  where a.label > 0 and b.label > 0 and a.label <> b.label group by 1, 2)"""
+_MET = """also met as (select a.label as p, b.label as q from voxels a join voxels b on b.z = a.z + 1 and b.y = a.y and b.x = a.x
+  union all select a.label, b.label from voxels a join voxels b on b.z = a.z and b.y = a.y + 1 and b.x = a.x
+  union all select a.label, b.label from voxels a join voxels b on b.z = a.z and b.y = a.y and b.x = a.x + 1)"""
+_CONTACTS = f"""{_MET},
+contacts as (select least(p, q) as a, greatest(p, q) as b, count(*) as n from met where p > 0 and q > 0 and p <> q group by 1, 2)"""
 
 
 @JOBS.add(f"{_CONTACTS} select * from contacts", "voxels")
@@ -73,7 +100,7 @@ def overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @JOBS.add(
-    f"""{_COUNTS}, scored as (select *, area_a + area_b - both_n as u, both_n / (area_a + area_b - both_n) as iou from counts where both_n * 100 >= (area_a + area_b - both_n)),
+    f"""{_COUNTS}, scored as (select *, area_a + area_b - both_n as u, (both_n::hugeint << 62) // (area_a + area_b - both_n) as iou from counts where both_n * 100 >= (area_a + area_b - both_n)),
 top as (select *, max(iou) over (partition by band, a) as ta, max(iou) over (partition by band, b) as tb from scored),
 tied as (select *, sum((iou = ta)::int) over (partition by band, a) as na, sum((iou = tb)::int) over (partition by band, b) as nb from top)
 select band, a, b, both_n as "both", u as "union" from tied where iou = ta and iou = tb and na = 1 and nb = 1""",

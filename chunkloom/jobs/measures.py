@@ -40,12 +40,12 @@ def bead_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @JOBS.add(
     """also sums as (select tile as vertex, dz as bin, sum(score)::bigint as total, count(*) as n from tracks group by 1, 2)
-select centre, bin, sum(total)::bigint as total, sum(n)::bigint as n from (select t.vertex as centre, (t.vertex + k) % 100 as member from (select distinct vertex from sums) t, range(0, 4) r(k)) join sums on vertex = member group by 1, 2""",
+select centre, bin, sum(total)::bigint as total, sum(n)::bigint as n from (select t.vertex as centre, t.vertex + k as member from (select distinct vertex from sums) t, range(0, 4) r(k)) join sums on vertex = member group by 1, 2""",
     "tracks",
 )
 def neighbourhood_pooling(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = A.tracks(spark, sf_dir).groupBy(F.col("tile").alias("vertex"), F.col("dz").alias("bin")).agg(F.sum("score").alias("total"), F.count("*").alias("n"))
-    near = sums.select(F.col("vertex").alias("centre")).distinct().withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3)))).select("centre", ((F.col("centre") + F.col("k")) % 100).alias("member"))
+    near = sums.select(F.col("vertex").alias("centre")).distinct().withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3)))).select("centre", (F.col("centre") + F.col("k")).alias("member"))
     return M.pooled(sums, near)
 
 
@@ -110,23 +110,28 @@ def residual_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.verdicts(planes, 3, 12)
 
 
+_CELLS = """also cells as (select z, (y // 2)::int as y, (x // 2)::int as x, case when max(v) % 11 = 0 then 0 else 1 + ((y // 8) * 4 + (x // 8)) * 2 + case when (y // 2) % 4 in (1, 2) and (x // 2) % 4 in (1, 2) then 1 else 0 end end::bigint as label
+  from voxels group by z, y // 2, x // 2, y // 8, x // 8)"""
+
+
 @JOBS.add(
-    """also out_faces as (select v.z, v.label as own, v.y + dy as y, v.x + dx as x from voxels v, (values (0, 1), (1, 0), (0, -1), (-1, 0)) s(dy, dx) where v.label > 0),
-met as (select o.z, own, coalesce(w.label, 0) as near from out_faces o left join voxels w on w.z = o.z and w.y = o.y and w.x = o.x where coalesce(w.label, 0) <> own)
+    f"""{_CELLS}, out_faces as (select v.z, v.label as own, v.y + dy as y, v.x + dx as x from cells v, (values (0, 1), (1, 0), (0, -1), (-1, 0)) s(dy, dx) where v.label > 0),
+met as (select o.z, own, coalesce(w.label, 0) as near from out_faces o left join cells w on w.z = o.z and w.y = o.y and w.x = o.x where coalesce(w.label, 0) <> own)
 select z, own as label, min(near) as around from met group by 1, 2 having min(near) = max(near) and min(near) > 0""",
     "voxels",
 )
 def encircled_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.encircled(A.voxels(spark, sf_dir))
-
-
-_FACES = "with faces as (select l_orderkey % 300 as v0, l_partkey % 300 as v1, l_suppkey % 300 as v2 from lineitem)"
+    """Cores of 2 x 2 cells, each within a ring of its own, where no cell is missing or background."""
+    y, x = F.floor(F.col("y") / 2).cast("int"), F.floor(F.col("x") / 2).cast("int")
+    top = A.voxels(spark, sf_dir).groupBy("z", y.alias("y"), x.alias("x")).agg(F.max("v").alias("v"))
+    core = ((F.col("y") % 4).isin(1, 2) & (F.col("x") % 4).isin(1, 2)).cast("long")
+    ring = 1 + (F.floor(F.col("y") / 4) * 4 + F.floor(F.col("x") / 4)) * 2 + core
+    return M.encircled(top.select("z", "y", "x", F.when(F.col("v") % 11 == 0, 0).otherwise(ring).cast("long").alias("label")))
 
 
-@JOBS.add(f"{_FACES}, pairs as (select least(v0, v1) as a, greatest(v0, v1) as b from faces union all select least(v1, v2), greatest(v1, v2) from faces union all select least(v2, v0), greatest(v2, v0) from faces) select a, b from pairs group by 1, 2 having count(*) = 1")
+@JOBS.add("also pairs as (select least(v0, v1) as a, greatest(v0, v1) as b from faces union all select least(v1, v2), greatest(v1, v2) from faces union all select least(v2, v0), greatest(v2, v0) from faces) select a, b from pairs group by 1, 2 having count(*) = 1", "faces")
 def mesh_boundary_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    faces = A.table(spark, sf_dir, "lineitem").select(*[(F.col(c) % 300).alias(f"v{i}") for i, c in enumerate(("l_orderkey", "l_partkey", "l_suppkey"))])
-    return M.mesh_boundary(faces)
+    return M.mesh_boundary(A.faces(spark, sf_dir))
 
 
 @JOBS.add("select lo // 500 as gx, y_lo // 500 as gy, round(median(ln((hi - lo + 3) / (id % 17 + 1))), 9) as ratio, count(*) as n from boxes group by 1, 2 having count(*) >= 3", "boxes")
@@ -135,9 +140,9 @@ def grid_log_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.grid_ratios(points, 500, 3)
 
 
-@JOBS.add("select p_partkey as id, p_name as name from part where regexp_matches(p_name, '[0-9]*[02468]$') and not regexp_matches(p_name, '0$')")
+@JOBS.add("select c_custkey as id, c_name as name from customer where regexp_matches(c_name, '[0-9]*[02468]$') and not regexp_matches(c_name, '0$')")
 def included_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.chosen_names(A.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")), "[0-9]*[02468]$", "0$")
+    return M.chosen_names(A.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), "[0-9]*[02468]$", "0$")
 
 
 @JOBS.add(
@@ -179,8 +184,8 @@ def track_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@JOBS.add("select p_name as name, regexp_extract(p_name, '([0-9]+)$', 1) as digits, try_cast(regexp_extract(p_name, '([0-9]+)$', 1) as bigint) as number from part")
+@JOBS.add("select c_name as name, regexp_extract(c_name, '([0-9]+)$', 1) as digits, try_cast(regexp_extract(c_name, '([0-9]+)$', 1) as bigint) as number from customer")
 def tile_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trailing number of a name."""
-    digits = F.regexp_extract("p_name", "([0-9]+)$", 1)
-    return A.table(spark, sf_dir, "part").select(F.col("p_name").alias("name"), digits.alias("digits"), digits.try_cast("long").alias("number"))
+    digits = F.regexp_extract("c_name", "([0-9]+)$", 1)
+    return A.table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), digits.alias("digits"), digits.try_cast("long").alias("number"))

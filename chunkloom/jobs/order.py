@@ -42,7 +42,7 @@ def context_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @JOBS.add("select source, id, row_number() over (partition by source order by id)::int as turn from boxes", "boxes")
 def round_robin_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.round_robin(A.boxes(spark, sf_dir), "source", "id").select("source", "id", "turn")
+    return O.round_robin(A.boxes(spark, sf_dir), "source", "id").select("source", "id", F.col("turn").cast("int").alias("turn"))
 
 
 @JOBS.add(

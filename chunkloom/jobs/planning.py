@@ -31,15 +31,17 @@ def foreground_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @JOBS.add(
-    """also seen as (select distinct label from voxels where label > 0), wanted as (select unnest(range(1, 300)) as label)
+    """also seen as (select distinct label from voxels where label > 0), slabs as (select distinct z // 2 as s from voxels), wanted as (select unnest(range(s * 64 + 1, s * 64 + 61)) as label from slabs)
 select 'missing' as kind, count(*) as n, min(label) as least from (select label from wanted except select label from seen)
 union all select 'unexpected', count(*), min(label) from (select label from seen except select label from wanted)""",
     "voxels",
 )
 def label_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels missing from a wanted range, and labels outside it."""
-    seen = A.voxels(spark, sf_dir).where(F.col("label") > 0).select("label").distinct().withColumn("seen", F.lit(True))
-    wanted = spark.range(1, 300).select(F.col("id").alias("label"), F.lit(True).alias("wanted"))
+    """Labels missing from a plan of 60 a slab, and labels outside it."""
+    voxels = A.voxels(spark, sf_dir)
+    seen = voxels.where(F.col("label") > 0).select("label").distinct().withColumn("seen", F.lit(True))
+    slab = voxels.select(F.floor(F.col("z") / 2).alias("s")).distinct()
+    wanted = slab.select(F.explode(F.sequence(F.col("s") * 64 + 1, F.col("s") * 64 + 60)).alias("label"), F.lit(True).alias("wanted"))
     both = seen.join(wanted, "label", "full")
     kind = F.when(F.col("seen").isNull(), "missing").when(F.col("wanted").isNull(), "unexpected")
     kinds = F.explode(F.array(F.lit("missing"), F.lit("unexpected")))

@@ -50,12 +50,12 @@ _MIDDLE = "also middle as (select channel, median(v) as m from samples group by
 
 
 @JOBS.add(
-    f"""{_MIDDLE} select channel, count(*) as n, any_value(m)::double as median, median(abs(v - m))::double as mad, round(quantile_cont(v, 0.16), 6) as p16, round(quantile_cont(v, 0.84), 6) as p84 from samples join middle using (channel) group by 1""",
+    f"""{_MIDDLE} select channel, count(*) as n, round(avg(v), 6) as mean, round(coalesce(stddev_samp(v), 0), 6) as std, any_value(m)::double as median, median(abs(v - m))::double as mad, round(quantile_cont(v, 0.16), 6) as p16, round(quantile_cont(v, 0.84), 6) as p84 from samples join middle using (channel) group by 1""",
     "samples",
 )
 def distribution_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = S.distribution(A.samples(spark, sf_dir))
-    return found.withColumns({c: F.round(c, 6) for c in ("p16", "p84")})
+    return found.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p16", "p84")})
 
 
 @JOBS.add(

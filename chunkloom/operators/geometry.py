@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from chunkloom.operators.ranges import running, with_parts
 
 def cells(lo: Column, hi: Column, width: int) -> Column:
     """The grid cells that the half-open interval [lo, hi) meets; none for an empty one."""
@@ -31,16 +32,26 @@ def active_counts(boxes: DataFrame) -> DataFrame:
     """(source, pos, active): how many boxes of a source cover each position where one starts or ends (sweep line)."""
     steps = boxes.select("source", F.explode(F.array(F.struct(F.col("lo").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("hi").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
     change = steps.groupBy("source", "e.pos").agg(F.sum("e.d").alias("d"))
-    return change.select("source", "pos", F.sum("d").over(W.partitionBy("source").orderBy("pos")).alias("active"))
+    return running(change, "source", "pos", "d").select("source", "pos", F.col("through").alias("active"))
 
 
 def merged_windows(boxes: DataFrame) -> DataFrame:
-    """(source, start, stop, members): intervals of a source joined while the next starts at or before the reach so far."""
-    order = W.partitionBy("source").orderBy("lo", "hi", "id")
-    reach = F.max("hi").over(order.rowsBetween(W.unboundedPreceding, -1))
-    marked = boxes.withColumn("new", F.when(reach.isNull() | (F.col("lo") > reach), 1).otherwise(0))
-    numbered = marked.withColumn("k", F.sum("new").over(order))
-    return numbered.groupBy("source", "k").agg(F.min("lo").alias("start"), F.max("hi").alias("stop"), F.count("*").alias("members")).drop("k")
+    """(source, start, stop, members): intervals of a source joined while the next starts at or before the reach so far.
+
+    Intervals are dealt to ranges of their starts; the reach of all ranges before is at most one row a range.
+    """
+    placed = with_parts(boxes.select("source", "id", "lo", "hi"), "source", "lo")
+    tops = placed.groupBy("source", "part").agg(F.max("hi").alias("top"))
+    past = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    tops = tops.select("source", "part", F.max("top").over(past).alias("past"))
+    order = W.partitionBy("source", "part").orderBy("lo", "hi", "id").rowsBetween(W.unboundedPreceding, -1)
+    reach = F.greatest(F.max("hi").over(order), F.col("past"))  # greatest skips nulls
+    starts = placed.join(tops, ["source", "part"]).withColumn("reach", reach).where(F.col("reach").isNull() | (F.col("lo") > F.col("reach")))
+    # Each start belongs to the last window that began at or before it.
+    begun = starts.select("source", "lo", F.lit(1).cast("long").alias("one")).distinct()
+    marks = placed.groupBy("source", "lo").agg(F.max("hi").alias("hi"), F.count("*").alias("n")).join(begun, ["source", "lo"], "left")
+    k = running(marks.withColumn("one", F.coalesce("one", F.lit(0).cast("long"))), "source", "lo", "one")
+    return k.groupBy("source", "through").agg(F.min("lo").alias("start"), F.max("hi").alias("stop"), F.sum("n").alias("members")).drop("through")
 
 
 def block_reads(voxels: DataFrame, size: tuple[int, int, int], halo: int) -> DataFrame:

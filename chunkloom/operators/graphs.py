@@ -77,10 +77,10 @@ def with_overrides(edges: DataFrame, overrides: DataFrame) -> DataFrame:
     return edges.join(overrides, ["fixed", "moving"], "left").withColumn("accepted", F.coalesce("accept", "accepted")).drop("accept")
 
 
-def depths(edges: DataFrame, anchor: int, most: int = ROUNDS) -> DataFrame:
+def depths(edges: DataFrame, anchor: int, most: int = 10 * ROUNDS) -> DataFrame:
     """(node, depth): tiles that accepted edges reach from the anchor, by the fewest edges.
 
-    One round a depth: the frontier's neighbours that are not yet known.
+    One round a depth: the frontier's neighbours that are not yet known. More than `most` rounds are an error.
     """
     kept = edges.where("accepted")
     links = cut(kept.select("fixed", "moving").union(kept.select("moving", "fixed")).distinct())
@@ -89,10 +89,10 @@ def depths(edges: DataFrame, anchor: int, most: int = ROUNDS) -> DataFrame:
     for depth in range(1, most):
         near = links.join(frontier, links["fixed"] == frontier["node"]).select(F.col("moving").alias("node")).distinct()
         frontier = cut(near.join(known.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
-        if frontier.limit(1).count() == 0:
-            break
+        if frontier.isEmpty():
+            return known
         known = cut(known.union(frontier))
-    return known
+    raise RuntimeError(f"tiles lie {most} edges or more from the anchor")
 
 
 def anchors(edges: DataFrame) -> DataFrame:

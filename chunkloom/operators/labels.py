@@ -20,6 +20,21 @@ def merge_moments(parts: DataFrame) -> DataFrame:
     return parts.groupBy("label").agg(*sums, F.min("min_v").alias("min_v"), F.max("max_v").alias("max_v"))
 
 
+def with_planes(moments: DataFrame, planes: DataFrame) -> DataFrame:
+    """moments with (plane_z, plane_area) of each label; a label without a plane, or a plane without a label, is an error."""
+    sides = moments.withColumn("_m", F.lit(True)).join(planes.withColumn("_p", F.lit(True)), "label", "full")
+    whole = F.when(F.col("_m") & F.col("_p"), F.col("plane_z")).otherwise(F.raise_error(F.concat(F.lit("labels of moments and planes differ: "), F.col("label").cast("string"))).cast("int"))
+    return sides.withColumn("plane_z", whole).drop("_m", "_p")
+
+
+def float_moments(voxels: DataFrame) -> DataFrame:
+    """(label, area, mean, least, most) of intensities that may be NaN: one NaN makes all three NaN."""
+    v = F.col("v").cast("double")
+    some = F.max(F.isnan(v))
+    held = voxels.where(F.col("label") > 0).groupBy("label").agg(F.count("*").alias("area"), some.alias("nan"), *[f(v).alias(n) for f, n in ((F.avg, "mean"), (F.min, "least"), (F.max, "most"))])
+    return held.select("label", "area", *[F.when(F.col("nan"), F.lit(float("nan"))).otherwise(F.col(n)).alias(n) for n in ("mean", "least", "most")])
+
+
 def finish(moments: DataFrame) -> DataFrame:
     """Centroids and means from moments."""
     return moments.select("label", "area", *[(F.col(f"sum_{c}") / F.col("area")).alias(f"centroid_{c}") for c in "zyx"], (F.col("sum_v") / F.col("area")).alias("mean_v"), "min_v", "max_v")
@@ -54,11 +69,14 @@ def overlap_counts(bands: DataFrame) -> DataFrame:
 def reciprocal_best(counts: DataFrame, least: tuple[int, int] = (0, 1)) -> DataFrame:
     """Pairs that are each other's only best by IoU, compared as exact fractions; ties are left out.
 
-    least: numerator and denominator of the smallest IoU, inclusive.
+    least: numerator and denominator of the smallest IoU, inclusive. Fractions are compared by their first 62 binary
+    places, in which any two with denominators below 2^31 differ; a larger union of pixels is an error.
     """
     union = F.col("area_a") + F.col("area_b") - F.col("both")
-    # Equal fractions have equal reduced forms; the quotient orders different ones.
-    rows = counts.withColumn("union", union).where(F.col("both") * least[1] >= F.col("union") * least[0]).withColumn("iou", F.col("both") / F.col("union"))
+    safe = F.when(union < 1 << 31, union).otherwise(F.raise_error(F.lit("a union of 2^31 pixels or more")).cast("long"))
+    rows = counts.withColumn("union", safe).where(F.col("both") * least[1] >= F.col("union") * least[0])
+    high = F.expr("shiftleft(both, 31) div union")
+    rows = rows.withColumn("high", high).withColumn("iou", F.shiftleft("high", 31) + F.expr("shiftleft(shiftleft(both, 31) % union, 31) div union")).drop("high")
 
     best_a = rows.withColumn("top_a", F.max("iou").over(W.partitionBy("band", "a"))).withColumn("top_b", F.max("iou").over(W.partitionBy("band", "b")))
     marked = best_a.withColumn("ties_a", F.sum((F.col("iou") == F.col("top_a")).cast("int")).over(W.partitionBy("band", "a"))).withColumn("ties_b", F.sum((F.col("iou") == F.col("top_b")).cast("int")).over(W.partitionBy("band", "b")))

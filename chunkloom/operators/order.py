@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from chunkloom.operators.geometry import merged_windows
+from chunkloom.operators.ranges import numbered, running
 
 def top_signal(rows: DataFrame, group: str, signal: str, key: str, n: int) -> DataFrame:
     """The n rows of each group with most signal, ties to the smaller key."""
@@ -39,7 +41,7 @@ def with_context(picks: DataFrame, step: int, reach: int, count: Column) -> Data
 
 def round_robin(rows: DataFrame, source: str, key: str) -> DataFrame:
     """rows with `turn`: the first of every source, then the second, and so on; sources in order within a turn."""
-    return rows.withColumn("turn", F.row_number().over(W.partitionBy(source).orderBy(key)))
+    return numbered(rows, source, key, "turn")
 
 
 def strata(rows: DataFrame, position: str, group: str, n: int) -> DataFrame:
@@ -83,13 +85,21 @@ def modal_size(boxes: DataFrame) -> DataFrame:
 def greedy_stabbing(boxes: DataFrame) -> DataFrame:
     """(source, plane): the fewest planes that hit every half-open interval [lo, hi) of a source.
 
-    A fold over a source's intervals in order of their ends; the state is the last plane, so one sorted pass a source.
+    Intervals that no chain of overlaps joins need no common plane, so each chain is a fold of its own: in order of the
+    ends, with the last plane as state, one sorted pass a chain.
     """
-    ends = boxes.where(F.col("hi") > F.col("lo")).groupBy("source", "hi").agg(F.max("lo").alias("lo"))
-    rows = ends.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("hi", "lo"))).alias("rows"))
-    planes = F.aggregate(
-        "rows",
-        F.array().cast("array<bigint>"),
-        lambda s, r: F.when((F.size(s) > 0) & (F.element_at(s, -1) >= r["lo"]), s).otherwise(F.concat(s, F.array((r["hi"] - 1).cast("long")))),
-    )
-    return rows.select("source", F.explode(planes).alias("plane"))
+    held = boxes.where(F.col("hi") > F.col("lo"))
+    # Chains overlap, while merged windows may only touch: ends are made inclusive.
+    chains = merged_windows(held.withColumn("hi", F.col("hi") - 1)).select("source", F.col("start").alias("_start"))
+    marks = chains.select("source", F.col("_start").alias("lo"), F.lit(1).cast("long").alias("one"))
+    ends = held.groupBy("source", "lo").agg(F.array_sort(F.collect_set("hi")).alias("his")).join(marks, ["source", "lo"], "left")
+    dealt = running(ends.withColumn("one", F.coalesce("one", F.lit(0).cast("long"))), "source", "lo", "one").withColumnRenamed("through", "chain")
+    last = dealt.select("source", "chain", "lo", F.explode("his").alias("hi")).groupBy("source", "chain", "hi").agg(F.max("lo").alias("lo"))
+    rows = last.groupBy("source", "chain").agg(F.array_sort(F.collect_list(F.struct("hi", "lo"))).alias("rows"))
+    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("found"))
+
+    def step(s: Column, r: Column) -> Column:
+        plane = (r["hi"] - 1).cast("bigint")
+        return F.when(s["last"] >= r["lo"], s).otherwise(F.struct(plane.alias("last"), F.concat(s["found"], F.array(plane)).alias("found")))
+
+    return rows.select("source", F.explode(F.aggregate("rows", start, step)["found"]).alias("plane"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from chunkloom.operators.ranges import quantiles, running
+
 
 def exact_quantiles(samples: DataFrame, shares: tuple[float, ...]) -> DataFrame:
     """(channel, q0, q1, ...): exact quantiles with linear interpolation."""
-    return samples.groupBy("channel").agg(*[F.percentile("v", F.lit(q)).alias(f"q{i}") for i, q in enumerate(shares)])
+    return quantiles(samples, "channel", "v", shares).drop("n")
 
 
 def scaling(samples: DataFrame, low: float, high: float, most: int) -> DataFrame:
@@ -29,9 +30,7 @@ def histogram(samples: DataFrame, bins: int) -> DataFrame:
 
 def rank_percentiles(samples: DataFrame, shares: tuple[int, ...]) -> DataFrame:
     """(channel, percent, v): the value at rank ceil(percent / 100 * n), from counts of values."""
-    counts = samples.groupBy("channel", "v").agg(F.count("*").alias("n"))
-    order = W.partitionBy("channel").orderBy("v")
-    reached = counts.withColumn("through", F.sum("n").over(order)).withColumn("total", F.sum("n").over(W.partitionBy("channel")))
+    reached = running(samples.groupBy("channel", "v").agg(F.count("*").alias("n")), "channel", "v", "n")
     asked = reached.withColumn("percent", F.explode(F.array(*[F.lit(s) for s in shares])))
     rank = F.greatest(F.lit(1), F.ceil(F.col("percent") * F.col("total") / 100))
     return asked.where((F.col("through") >= rank)).groupBy("channel", "percent").agg(F.min("v").alias("v"))
@@ -39,16 +38,16 @@ def rank_percentiles(samples: DataFrame, shares: tuple[int, ...]) -> DataFrame:
 
 def threshold_cut(samples: DataFrame, share: int) -> DataFrame:
     """(channel, v): the least value by which the running sum of values reaches share percent of the total."""
-    counts = samples.groupBy("channel", "v").agg(F.sum("v").alias("s"))
-    run = counts.withColumn("through", F.sum("s").over(W.partitionBy("channel").orderBy("v"))).withColumn("total", F.sum("s").over(W.partitionBy("channel")))
+    run = running(samples.groupBy("channel", "v").agg(F.sum("v").alias("s")), "channel", "v", "s")
     return run.where(F.col("through") * 100 >= F.col("total") * share).groupBy("channel").agg(F.min("v").alias("v"))
 
 
 def distribution(samples: DataFrame) -> DataFrame:
-    """(channel, n, median, mad, p16, p84): median, median absolute deviation and outer quantiles."""
-    middle = samples.groupBy("channel").agg(F.median("v").alias("median"))
-    spread = samples.join(middle, "channel").withColumn("d", F.abs(F.col("v") - F.col("median")))
-    return spread.groupBy("channel").agg(F.count("*").alias("n"), F.first("median").alias("median"), F.median("d").alias("mad"), F.percentile("v", F.lit(0.16)).alias("p16"), F.percentile("v", F.lit(0.84)).alias("p84"))
+    """(channel, n, mean, std, median, mad, p16, p84): moments, median absolute deviation and outer quantiles; std of one value is 0."""
+    middle = quantiles(samples, "channel", "v", (0.5, 0.16, 0.84)).select("channel", F.col("q0").alias("median"), F.col("q1").alias("p16"), F.col("q2").alias("p84"))
+    spread = quantiles(samples.join(middle, "channel").select("channel", F.abs(F.col("v") - F.col("median")).alias("d")), "channel", "d", (0.5,)).select("channel", F.col("q0").alias("mad"))
+    moments = samples.groupBy("channel").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.coalesce(F.stddev_samp("v"), F.lit(0.0)).alias("std"))
+    return moments.join(middle, "channel").join(spread, "channel").select("channel", "n", "mean", "std", "median", "mad", "p16", "p84")
 
 
 def robust_keep(samples: DataFrame, times: int) -> DataFrame:
