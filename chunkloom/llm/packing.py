@@ -5,8 +5,8 @@ Documents are tokenised and cut into pieces of `capacity` ids and a shorter rest
 so far; packs with the same contents are one pattern with a count, so the work depends on the number of lengths
 and not of documents. Where nothing fits, as many packs open as the pieces of that length fill. Pieces then find their place by rank: the r-th piece of a length takes the r-th slot for it.
 
-Ranks are counted within (length, bucket), with a bucket of at most about RANKED pieces, and shifted by the sizes
-of the buckets before, so that a length shared by many pieces isn't ranked in one task.
+Ranks are counted within (length, bucket), and shifted by the sizes of the buckets before. A bucket holds at most about
+RANKED pieces, and at most about one in SHARES of all, so that a length shared by many isn't ranked in one task.
 
 Sequences are written with their ids: a piece of `capacity` ids is a sequence as it is, and rests travel to their
 sequence, at most `capacity` rows each, where they are laid end to end and padded. What packed() returns is read
@@ -36,6 +36,7 @@ END_ID = 1
 #: A real token too: a sequence's `filled` says where padding begins.
 PAD_ID = 0
 RANKED = 100_000
+SHARES = 1000
 #: Entries of the per-task word cache.
 CACHE = 400_000
 
@@ -181,8 +182,9 @@ def slots(packs: list[tuple[int, tuple[int, ...]]]) -> dict[int, np.ndarray]:
     return {k: np.array(v, np.int64) for k, v in out.items()}
 
 
-def ranked(table: DataFrame, histogram: dict[int, int], order: list[str], most: int = RANKED) -> DataFrame:
+def ranked(table: DataFrame, histogram: dict[int, int], order: list[str], most: int | None = None) -> DataFrame:
     """table with `rank`: 0, 1, ... within each length, in buckets of about `most` rows."""
+    most = most or max(1, min(RANKED, sum(histogram.values()) // SHARES))
     many = [(k, -(-n // most)) for k, n in histogram.items() if n > most]
     buckets = F.coalesce(F.create_map(*[F.lit(x) for pair in many for x in pair])[F.col("length")], F.lit(1)) if many else F.lit(1)
     table = table.withColumn("bucket", F.pmod(F.xxhash64(*order), buckets.cast("long")))
