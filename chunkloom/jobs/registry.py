@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from chunkloom.jobs import fits, geometry, graphs, labels, measures, order, planning, statistics
+from chunkloom.jobs import fits, geometry, graphs, labels, measures, order, planning, records, statistics
 from chunkloom.streaming import slabs
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (labels, graphs, geometry, statistics, order, planning, measures, fits, slabs):
+for _module in (labels, graphs, geometry, statistics, order, planning, measures, fits, records, slabs):
     QUERIES |= _module.JOBS.queries
     ORACLE_SQL |= _module.JOBS.sql
