@@ -52,3 +52,26 @@ def human_bytes(n: Column) -> Column:
     for k in range(3, 0, -1):
         out = F.when(n < 1 << (10 * (k + 1)), F.format_string(f"%.1f {units[k]}", n / float(1 << (10 * k)))).otherwise(out)
     return F.when(n < 1024, F.format_string("%d B", n)).otherwise(out)
+
+
+#: Microns of a unit of length.
+MICRONS = {"nm": 0.001, "um": 1.0, "mm": 1000.0, "m": 1_000_000.0}
+
+
+def microns(value: Column, unit: Column) -> Column:
+    """A length in microns; an unknown unit is an error."""
+    factor = F.create_map(*[F.lit(x) for pair in MICRONS.items() for x in pair])[unit]
+    return value * F.coalesce(factor, F.raise_error(F.concat(F.lit("unknown unit of length: "), unit)).cast("double"))
+
+
+def to_world(i: Column, j: Column, origin: tuple[float, float], spacing: float, direction: tuple[float, float]) -> tuple[Column, Column]:
+    """Physical position of an index: origin + direction * spacing * index, direction (cos, sin) of the first axis."""
+    c, s = direction
+    return origin[0] + c * (i * spacing) - s * (j * spacing), origin[1] + s * (i * spacing) + c * (j * spacing)
+
+
+def to_index(x: Column, y: Column, origin: tuple[float, float], spacing: float, direction: tuple[float, float]) -> tuple[Column, Column]:
+    """The inverse of to_world."""
+    c, s = direction
+    dx, dy = x - origin[0], y - origin[1]
+    return (c * dx + s * dy) / spacing, (c * dy - s * dx) / spacing

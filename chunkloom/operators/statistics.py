@@ -21,6 +21,13 @@ def scaling(samples: DataFrame, low: float, high: float, most: int) -> DataFrame
     return q.select("channel", F.col("q0").alias("offset"), (most / safe).alias("scale"))
 
 
+def quantisation(samples: DataFrame, many: int, least: float) -> DataFrame:
+    """(channel, n, lower, scale) from the quantiles 0.0001 and 0.9999 (0.999 under `many` values), at least `least` apart around their middle."""
+    q = quantiles(samples, "channel", "v", (0.0001, 0.999, 0.9999)).select("channel", "n", F.col("q0").alias("lo"), F.when(F.col("n") >= many, F.col("q2")).otherwise(F.col("q1")).alias("hi"))
+    lower = F.when(F.col("hi") - F.col("lo") < least, (F.col("hi") + F.col("lo")) / 2 - least / 2).otherwise(F.col("lo"))
+    return q.select("channel", "n", lower.alias("lower"), (65534 / F.greatest(F.col("hi") - F.col("lo"), F.lit(least))).alias("scale"))
+
+
 def histogram(samples: DataFrame, bins: int) -> DataFrame:
     """(channel, bin, n): equal widths from the least to the most value of a channel, the last bin closed."""
     ends = samples.groupBy("channel").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
