@@ -6,30 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.functions.scratch import cut
+from chunkloom.operators.joins import hot_left_join
 
 ROUNDS = 60
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for the nodes of (a, b): the least node that links reach, by label spreading with shortcuts.
+def components(edges: DataFrame, name: str = "star") -> DataFrame:
+    """(node, root) for each node of edges (a, b): root is the least node that links reach. Null ends and loops are left out.
 
-    Each round a node takes the least root among its neighbours and then that root's own root, so that the number
-    of rounds grows with the logarithm of the longest path.
+    Alternating star contractions: each round points every node's larger neighbours to the least neighbour (large
+    star), then every node and its smaller neighbours to the least one (small star), so the number of rounds grows with
+    the logarithm of the nodes. A node's neighbours are only aggregated to their minimum, and the minima of nodes with
+    many neighbours are broadcast to them: no task holds a node.
     """
-    links = edges.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    links = cut(links.union(links.select("b", "a")).distinct())
-    roots = cut(links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
+    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct()
+    now = cut(now, name)
+    total, before = now.count(), None
     for _ in range(ROUNDS):
-        seen = links.join(roots.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near")).withColumnRenamed("a", "node")
-        lower = roots.join(seen, "node").select("node", F.least("root", "near").alias("root"))
-        # A root that found a lower one hands it on to all that point to it.
-        hop = lower.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        moved = cut(lower.join(hop, "root").select("node", F.least("root", "above").alias("root")))
-        changed = moved.join(roots.withColumnRenamed("root", "old"), "node").where(F.col("root") != F.col("old")).limit(1).count()
-        roots = moved
-        if not changed:
-            return roots
-    raise RuntimeError("components did not settle")
+        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = hot_left_join(both, least, "u", "v", 2 * total).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        down = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        ends = F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = hot_left_join(large, down, "u", "v", 2 * total).select(F.explode(ends).alias("e"))
+        now = cut(small.select("e.u", "e.v").where(F.col("u") != F.col("v")).distinct(), name)
+        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
+            break
+        total, before = state[0], state
+    else:
+        raise RuntimeError("components did not settle")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def pair_summary(edges: DataFrame) -> DataFrame:
