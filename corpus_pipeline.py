@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.functions.scratch import remove, scope
 from chunkloom.llm import decontaminate, jaccard, packing, quality, secrets
 from chunkloom.llm.common import materialize, table
 
@@ -53,7 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. Once a stage is written, the tables that it was made from are removed."""
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scope() as paths:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+        remove(spark, [*last, *paths[:-1]])
+        last = paths[-1:]
     return docs
