@@ -104,8 +104,8 @@ SCALE = 10.0
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 3, held_out: int = 1, rows: int = TRAINING_ROWS, most: int = TRAINING_BYTES) -> Model:
     """Train on at most `rows` labelled ids outside the held-out remainder, in the order of their hashes. No labels: a model of zeros.
 
-    Rows that repeat an id are examples of their own, at most twice `rows` in all. At most `most` bytes of vectors
-    reach the driver.
+    Rows that repeat an id are examples of their own, at most twice `rows` in all. A task trains on at most `most` bytes
+    of vectors; only the weights reach the driver.
     """
     bounded_batches(documents.sparkSession)
     sample = F.broadcast(training_sample(labels, label, modulus, held_out, rows))  # at most `rows` rows of two numbers
@@ -135,8 +135,18 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", modulus
     if last is None:
         return train([])
     ahead = F.struct(*order) <= F.struct(*[F.lit(last[c]).cast(keyed.schema[c].dataType) for c in order])
-    found = keyed.where(ahead).orderBy(*order).select("label", "index", "value").limit(2 * rows).collect()
-    return train([(np.frombuffer(r["index"], np.int32), np.frombuffer(r["value"], np.float32), r["label"]) for r in found])
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [
+            (np.frombuffer(i, np.int32), np.frombuffer(v, np.float32), y)
+            for batch in batches for i, v, y in zip(batch["index"].to_pylist(), batch["value"].to_pylist(), batch["label"].to_pylist())
+        ]
+        model = train(seen)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.intercept])], ["weights", "intercept"])
+
+    # One task trains, on the bounded rows in their order.
+    found = keyed.where(ahead).repartition(1).sortWithinPartitions(*order).limit(2 * rows).select("label", "index", "value").mapInArrow(trained, "weights binary, intercept double").first()
+    return Model(np.frombuffer(found["weights"], np.float32), found["intercept"])
 
 
 def _scores(values: pa.Array, weights: np.ndarray, intercept: float) -> np.ndarray:
