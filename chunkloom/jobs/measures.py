@@ -24,9 +24,12 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.tracks(spark, sf_dir).groupBy(F.col("tile").alias("key"), F.col("dz").alias("bin")).agg(F.sum("score").alias("v"))
 
 
-@JOBS.add(f"{_POINTS} select p.id, d2 from points p left join {_NEAR} n on n.id = p.id", "boxes")
+@JOBS.add(
+    f"""{_POINTS} select p.id, d2 from points p left join (select a.id, min((a.px - b.px) * (a.px - b.px) + (a.py - b.py) * (a.py - b.py)) as d2 from points a join points b on a.source = b.source and a.id <> b.id group by 1) n on n.id = p.id""",
+    "boxes",
+)
 def nearest_point_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.nearest_distance(_points(spark, sf_dir), 64)
+    return M.nearest_distance(_points(spark, sf_dir), 64, whole=True)
 
 
 @JOBS.add(

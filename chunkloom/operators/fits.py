@@ -25,7 +25,7 @@ def huber_lines(rows: DataFrame, ridge: float, delta: float, rounds: int) -> Dat
     """
     points = cut(rows.groupBy("tile", "x", "y").agg(F.count("*").alias("n")))
     line = None
-    for _ in range(rounds):
+    for k in range(rounds):
         if line is None:
             sums = _line_sums(points, F.lit(1.0))
         else:
@@ -34,7 +34,9 @@ def huber_lines(rows: DataFrame, ridge: float, delta: float, rounds: int) -> Dat
         det = F.col("s") * (F.col("sxx") + ridge) - F.col("sx") * F.col("sx")
         slope = (F.col("s") * F.col("sxy") - F.col("sx") * F.col("sy")) / det
         offset = ((F.col("sxx") + ridge) * F.col("sy") - F.col("sx") * F.col("sxy")) / det
-        line = cut(sums.select("tile", slope.alias("slope"), offset.alias("offset"), F.col("rows").alias("n")))
+        line = sums.select("tile", slope.alias("slope"), offset.alias("offset"), F.col("rows").alias("n"))
+        if k % 5 == 4 or k == rounds - 1:  # few rounds in a plan
+            line = cut(line)
     return line
 
 
@@ -85,7 +87,8 @@ def peeled_lines(points: DataFrame, most: float, passes: int) -> DataFrame:
     """(tile, n, left_out, slope) of points (tile, x, y), one y for each x: leaves out the worst point, one a pass, while its leave-one-out residual is beyond most.
 
     The residual against the line of all others is r / (1 - h), with h the point's leverage, so no line is fitted
-    twice. At ties the least x goes. Fewer than four points, or one x alone, are no support: nothing goes.
+    twice. At ties the least x goes. Fewer than four points, or one x alone, are no support: nothing goes. Points that
+    are left beyond the limit after all passes are an error.
     """
     kept = cut(points.select("tile", "x", "y"))
     x, y = F.col("x").cast("double"), F.col("y").cast("double")
@@ -104,6 +107,8 @@ def peeled_lines(points: DataFrame, most: float, passes: int) -> DataFrame:
         if worst.isEmpty():
             break
         kept = cut(kept.join(worst, ["tile", "x"], "left_anti"))
+    else:
+        raise RuntimeError(f"points beyond the limit are left after {passes} passes")
     counts = points.groupBy("tile").agg(F.count("*").alias("before"))
     return fitted().join(counts, "tile").select("tile", "n", (F.col("before") - F.col("n")).alias("left_out"), "slope")
 

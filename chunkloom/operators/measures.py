@@ -6,18 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from chunkloom.functions.scratch import cut
 
-def nearest_distance(points: DataFrame, cell: int) -> DataFrame:
-    """(id, d2): squared distance to the nearest other point of the same source within `cell`, null beyond it.
+def _within(asked: DataFrame, points: DataFrame, cell: int) -> DataFrame:
+    """(id, d2): squared distance from each asked point to the nearest other point of its source within `cell`, for those that have one.
 
-    Points meet only those in their own and the eight cells around.
+    Asked points meet only those in their own and the eight cells around.
     """
-    at = points.select("id", "source", "px", "py", F.floor(F.col("px") / cell).alias("cx"), F.floor(F.col("py") / cell).alias("cy"))
+    place = [F.floor(F.col("px") / cell).alias("cx"), F.floor(F.col("py") / cell).alias("cy")]
     around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    other = at.select(F.col("id").alias("o_id"), "source", F.col("px").alias("ox"), F.col("py").alias("oy"), "cx", "cy", around.alias("s")).select("o_id", "source", "ox", "oy", (F.col("cx") + F.col("s.a")).alias("cx"), (F.col("cy") + F.col("s.b")).alias("cy"))
+    at = asked.select("id", "source", "px", "py", *place, around.alias("s")).select("id", "source", "px", "py", (F.col("cx") + F.col("s.a")).alias("cx"), (F.col("cy") + F.col("s.b")).alias("cy"))
+    other = points.select(F.col("id").alias("o_id"), "source", F.col("px").alias("ox"), F.col("py").alias("oy"), *place)
     d2 = (F.col("px") - F.col("ox")) * (F.col("px") - F.col("ox")) + (F.col("py") - F.col("oy")) * (F.col("py") - F.col("oy"))
-    found = at.join(other, ["source", "cx", "cy"]).where((F.col("id") != F.col("o_id")) & (d2 <= cell * cell)).groupBy("id").agg(F.min(d2).alias("d2"))
-    return points.select("id").join(found, "id", "left")
+    return at.join(other, ["source", "cx", "cy"]).where((F.col("id") != F.col("o_id")) & (d2 <= cell * cell)).groupBy("id").agg(F.min(d2).alias("d2"))
+
+
+def nearest_distance(points: DataFrame, cell: int, whole: bool = False) -> DataFrame:
+    """(id, d2): squared distance to the nearest other point of the same source within `cell`, null beyond it.
+
+    With `whole`, cells grow fourfold for the points still without an answer, until all have one or a cell spans all
+    points; null is left for the only point of a source.
+    """
+    if not whole:
+        return points.select("id").join(_within(points, points, cell), "id", "left")
+    points = cut(points.select("id", "source", "px", "py"))
+    ends = points.agg(*[(F.max(c) - F.min(c)).alias(c) for c in ("px", "py")]).first()
+    asked, found = points, None
+    while True:
+        got = cut(_within(asked, points, cell))
+        found = got if found is None else found.unionByName(got)
+        asked = cut(asked.join(got.select("id"), "id", "left_anti"))
+        if cell > 2 * max(ends["px"] or 0, ends["py"] or 0) or asked.isEmpty():
+            return points.select("id").join(found, "id", "left")
+        cell *= 4
 
 
 def pooled(sums: DataFrame, near: DataFrame) -> DataFrame:
