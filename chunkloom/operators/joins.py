@@ -20,5 +20,7 @@ def hot_left_join(rows: DataFrame, keyed: DataFrame, key: str, by: str, total: i
     hot = keyed.where(F.col("n") * SHARES > total).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_{c}") for c in values])
     marked = rows.join(F.broadcast(hot), key, "left")
     spread = F.when(F.col("_hot") | F.col(key).isNull(), 1 + F.pmod(F.xxhash64(by), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
-    found = marked.withColumn("_spread", spread).join(keyed.drop("n").withColumn("_spread", F.lit(0).cast("long")), [key, "_spread"], "left")
+    # Always 0, but no constant: the optimizer would fold one into a filter, and deal the rows by the key alone.
+    zero = F.least(F.col("n"), F.lit(0)).cast("long")
+    found = marked.withColumn("_spread", spread).join(keyed.withColumn("_spread", zero).drop("n"), [key, "_spread"], "left")
     return found.select(*rows.columns, *[F.when(F.col("_hot"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in values])
