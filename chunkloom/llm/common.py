@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chunkloom.functions.scratch import cut
+from chunkloom.operators.joins import SHARES, hot_left_join
+
+__all__ = ["MAX_BATCH_BYTES", "MAX_BATCH_ROWS", "SHARES", "bounded_batches", "hot_left_join", "materialize", "table"]
 
 MAX_BATCH_ROWS = 1000
 MAX_BATCH_BYTES = 8 << 20
-#: A key is hot when it holds more than one in this many rows, so there are fewer hot keys than this.
-SHARES = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small, as one text can be long; smaller settings of the session stay."""
+    """Keep Arrow batches small, as one text can be long; smaller settings of the session stay.
+
+    The setting holds for the session from then on, as the tables made here are read later.
+    """
     for key, most in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", MAX_BATCH_ROWS),
         ("spark.sql.execution.arrow.maxBytesPerBatch", MAX_BATCH_BYTES),
@@ -32,18 +35,3 @@ def bounded_batches(spark: SparkSession) -> None:
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts lineage and survives lost executors."""
     return cut(df, name, **options)
-
-
-def hot_left_join(rows: DataFrame, keyed: DataFrame, key: str, by: str, total: int) -> DataFrame:
-    """rows left join keyed on key, where one key may hold many of the rows, or be null in many.
-
-    keyed has one row for each key, with the key's number `n` of rows; n goes. total: the number of rows. Hot keys
-    are broadcast: fewer than SHARES rows, whatever the tables' sizes. Their rows, and those without a key, find
-    their place in the shuffle for the other keys by a hash of the column `by`, and match nothing there.
-    """
-    values = [c for c in keyed.columns if c not in (key, "n")]
-    hot = keyed.where(F.col("n") * SHARES > total).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_{c}") for c in values])
-    marked = rows.join(F.broadcast(hot), key, "left")
-    spread = F.when(F.col("_hot") | F.col(key).isNull(), 1 + F.pmod(F.xxhash64(by), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
-    found = marked.withColumn("_spread", spread).join(keyed.drop("n").withColumn("_spread", F.lit(0).cast("long")), [key, "_spread"], "left")
-    return found.select(*rows.columns, *[F.when(F.col("_hot"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in values])

@@ -1,36 +1,5 @@
-"""Connected components of an edge table, by alternating star contractions."""
+"""Connected components of an edge table."""
 
-from __future__ import annotations
+from chunkloom.operators.graphs import components
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from chunkloom.llm.common import materialize
-
-ROUNDS = 60
-
-
-def components(edges: DataFrame, name: str = "star") -> DataFrame:
-    """(node, root) for each node of edges (a, b): root is the least node that links reach.
-
-    Each round points every node's larger neighbours to the least neighbour (large star), then every node and its
-    smaller neighbours to the least one (small star). The number of rounds grows with the logarithm of the nodes.
-    A node's neighbours are only aggregated to their minimum and joined, never gathered. Null ends are left out.
-    """
-    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct()
-    now = materialize(now, name)
-    before = None
-    for _ in range(ROUNDS):
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        now = materialize(small.select("e.u", "e.v").where(F.col("u") != F.col("v")).distinct(), name)
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+__all__ = ["components"]
