@@ -48,6 +48,16 @@ def normalise(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
+def spaced(text: str | None) -> bytes:
+    """The words with one space before, between and after them."""
+    letters = np.frombuffer((text or "").encode("utf-8", "surrogatepass").translate(_FOLD), np.uint8)
+    inside = letters != 32
+    last = np.append(inside[:-1] & ~inside[1:], False)  # before a gap
+    inside[1:] |= last[:-1]
+    line = letters[inside].tobytes()
+    return b" " + line + (b"" if line.endswith(b" ") else b" ") if line else b""
+
+
 def windows(text: str | None, width: int = WIDTH) -> list[str]:
     words = normalise(text)
     return [f" {b' '.join(words[i : i + width]).decode('latin-1')} " for i in range(max(1, len(words) - width + 1))] if words else []
@@ -81,10 +91,10 @@ def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def scan(text: str | None, found: ahocorasick.Automaton | None) -> tuple[int, list[tuple[int, int]], set[int]]:
     """The number of words, the word ranges of matches united, and the items that occur."""
-    words = normalise(text)
-    if not words or found is None:
-        return len(words), [], set()
-    line = b" " + b" ".join(words) + b" "
+    line = spaced(text)
+    n = max(0, line.count(b" ") - 1)
+    if not n or found is None:
+        return n, [], set()
     ranges, items, gaps = [], set(), None
     for end, (length, count, owners) in found.iter(line.decode("latin-1")):
         if gaps is None:
@@ -92,7 +102,7 @@ def scan(text: str | None, found: ahocorasick.Automaton | None) -> tuple[int, li
         first = int(np.searchsorted(gaps, end - length + 1))
         ranges.append((first, first + count))
         items.update(owners)
-    return len(words), united(ranges), items
+    return n, united(ranges), items
 
 
 def offsets(text: str | None, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
