@@ -35,3 +35,11 @@ def bounded_batches(spark: SparkSession) -> None:
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts lineage and survives lost executors."""
     return cut(df, name, **options)
+
+
+#: DuckDB SQL: unsigned crc32 of a text of ASCII characters, one step for each bit.
+CRC32_SQL = (
+    "xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split({text}, ''), "
+    "lambda ch: [unicode(ch)::bigint, 0, 0, 0, 0, 0, 0, 0]))), "
+    "lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"
+)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkloom.llm import chat, decontaminate, jaccard, licenses, packing, quality, secrets, topk, toxicity, urls
+from chunkloom.llm import chat, decontaminate, jaccard, licenses, manifest, packing, quality, secrets, topk, toxicity, urls
 from chunkloom.llm.common import table
 
 
@@ -48,7 +48,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk_search, op2_packing, op3_license_scan, op4_chat_formatting, op5_jaccard_join, op6_url_filter, op7_secret_scan, op8_toxicity, op9_decontamination, op10_quality)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_topk_search, op2_packing, op3_license_scan, op4_chat_formatting, op5_jaccard_join, op6_url_filter, op7_secret_scan, op8_toxicity, op9_decontamination, op10_quality,
+        op12_merkle_manifest,
+    )
+}
 
 ORACLE_SQL = {
     "op1_topk_search": topk.ORACLE,
@@ -57,4 +67,5 @@ ORACLE_SQL = {
     "op5_jaccard_join": jaccard.ORACLE,
     "op6_url_filter": urls.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
+    "op12_merkle_manifest": manifest.ORACLE,
 }
