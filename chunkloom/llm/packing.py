@@ -20,7 +20,7 @@ from __future__ import annotations
 import os
 import re
 from bisect import insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -194,12 +194,15 @@ def ranked(table: DataFrame, histogram: dict[int, int], order: list[str], most:
     return table.withColumn("here", here).join(before, ["length", "bucket"]).withColumn("rank", (F.coalesce("before", F.lit(0)) + F.col("here")).cast("long")).drop("here", "before", "bucket")
 
 
-def pack(table: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """table (doc_id, start, length and others) with sequence_id and offset. table should be cheap to read twice."""
+def pack(table: DataFrame, capacity: int = CAPACITY, plan: Callable[[dict[int, int], int], list[tuple[int, tuple[int, ...]]]] = patterns) -> DataFrame:
+    """table (doc_id, start, length and others) with sequence_id and offset. table should be cheap to read twice.
+
+    plan gives the packs, (count, lengths), for the numbers of pieces by length and the capacity.
+    """
     histogram = {r["length"]: r["n"] for r in table.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     if any(not 0 < k <= capacity for k in histogram):
         raise ValueError(f"piece lengths have to be from 1 to {capacity}")
-    shared = table.sparkSession.sparkContext.broadcast(slots(patterns(histogram, capacity)))
+    shared = table.sparkSession.sparkContext.broadcast(slots(plan(histogram, capacity)))
     order = [c for c in table.columns if table.schema[c].dataType.typeName() in ("long", "integer", "string")]
     rows = ranked(table, histogram, order)
 
@@ -260,8 +263,8 @@ def filled(rows: DataFrame, capacity: int = CAPACITY, pad_id: int = PAD_ID) -> D
     return rows.select(*names, "sequence_id", "ids").mapInArrow(lay, f"sequence_id long, filled long, ids binary, pieces array<struct<{','.join(f'{n}:bigint' for n in names)}>>")
 
 
-def sequences(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY, pad_id: int = PAD_ID) -> DataFrame:
-    """The padded sequences of all documents, written: (sequence_id, filled, ids, pieces), see filled()."""
+def sequences(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY, pad_id: int = PAD_ID, plan: Callable = patterns) -> DataFrame:
+    """The padded sequences of all documents, written: (sequence_id, filled, ids, pieces), see filled() and pack()."""
     spark = documents.sparkSession
     cut = materialize(pieces(documents, path or tokenizer_path(), capacity).withColumns({"piece": F.monotonically_increasing_id(), "task": F.spark_partition_id()}), "pieces")
     whole, rest = cut.where(F.col("length") == capacity), cut.where(F.col("length") < capacity)
@@ -271,12 +274,17 @@ def sequences(documents: DataFrame, path: str | None = None, capacity: int = CAP
         total += r["n"]
     shift = F.broadcast(spark.createDataFrame(before, "task int, before long"))
     whole = whole.join(shift, "task").withColumns({"sequence_id": F.col("before") + F.col("nth"), "offset": F.lit(0).cast("long")})
-    places = pack(rest.select("doc_id", "start", "length", "doc_tokens", "piece"), capacity).select("piece", (F.col("sequence_id") + total).alias("sequence_id"), "offset")
+    places = pack(rest.select("doc_id", "start", "length", "doc_tokens", "piece"), capacity, plan).select("piece", (F.col("sequence_id") + total).alias("sequence_id"), "offset")
     rest = rest.join(materialize(places, "places"), "piece").repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
     return materialize(filled(rest, capacity, pad_id).unionByName(filled(whole, capacity, pad_id)), "sequences", compression="zstd")
 
 
+def placed(sequences: DataFrame) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of each piece in written sequences."""
+    own = "transform(pieces, p -> struct(p.doc_id, p.start, p.length, crc32(substring(ids, int(4 * p.offset + 1), int(4 * p.length))) as ids_crc32, p.doc_tokens, sequence_id, p.offset))"
+    return sequences.selectExpr(f"inline({own})")
+
+
 def packed(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of each piece, read from the written sequences."""
-    own = "transform(pieces, p -> struct(p.doc_id, p.start, p.length, crc32(substring(ids, int(4 * p.offset + 1), int(4 * p.length))) as ids_crc32, p.doc_tokens, sequence_id, p.offset))"
-    return sequences(documents, path).selectExpr(f"inline({own})")
+    return placed(sequences(documents, path))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkloom.llm import chat, decontaminate, jaccard, licenses, manifest, packing, quality, secrets, topk, toxicity, urls
+from chunkloom.llm import bestfit, chat, decontaminate, jaccard, licenses, manifest, packing, quality, secrets, topk, toxicity, urls
 from chunkloom.llm.common import table
 
 
@@ -52,11 +52,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.report(table(spark, sf_dir, "documents"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.packed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_packing, op3_license_scan, op4_chat_formatting, op5_jaccard_join, op6_url_filter, op7_secret_scan, op8_toxicity, op9_decontamination, op10_quality,
-        op12_merkle_manifest,
+        op12_merkle_manifest, op13_best_fit_packing,
     )
 }
 
