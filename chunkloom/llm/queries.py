@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkloom.llm import bestfit, chat, decontaminate, jaccard, licenses, manifest, packing, quality, secrets, topk, toxicity, urls
+from chunkloom.llm import bestfit, chat, decontaminate, jaccard, licenses, manifest, packing, quality, repair, secrets, topk, toxicity, urls
 from chunkloom.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.report(table(spark, sf_dir, "documents"))
 
@@ -60,7 +64,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_packing, op3_license_scan, op4_chat_formatting, op5_jaccard_join, op6_url_filter, op7_secret_scan, op8_toxicity, op9_decontamination, op10_quality,
-        op12_merkle_manifest, op13_best_fit_packing,
+        op11_conversation_repair, op12_merkle_manifest, op13_best_fit_packing,
     )
 }
 
@@ -71,5 +75,6 @@ ORACLE_SQL = {
     "op5_jaccard_join": jaccard.ORACLE,
     "op6_url_filter": urls.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
+    "op11_conversation_repair": repair.ORACLE,
     "op12_merkle_manifest": manifest.ORACLE,
 }
