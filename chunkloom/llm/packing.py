@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from bisect import insort
 from collections.abc import Callable, Iterator
 
@@ -37,14 +38,16 @@ END_ID = 1
 PAD_ID = 0
 RANKED = 100_000
 SHARES = 1000
-#: Entries of the per-task word cache.
-CACHE = 400_000
+#: Entries of each of a process's two caches, of words and of what lies between blanks.
+CACHE = 250_000
 
 # The vocabulary's own rules for cutting text into words, for characters below U+0250.
 _BLANK = r"\t-\r \x85\xa0"
 _LETTERS = "a-zªµºß-öø-ɏ"
 _NUMBERS = "0-9²³¹¼½¾"
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANK}{_LETTERS}{_NUMBERS}]+")
+#: Blanks to str.split() that are none to the vocabulary.
+_SEPARATORS = re.compile(r"[\x1c-\x1f]")
 #: Characters below U+0250 whose lower case is none of one character below U+0250.
 _FAR = "".join(chr(c) for c in range(0x250) if len(chr(c).lower()) > 1 or chr(c).lower() > "ɏ")
 #: Texts with such or other characters, or with these strings, go through the tokenizer whole.
@@ -58,8 +61,22 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Known(dict):
+    """What `make` gives for a key; the first CACHE keys, which are the frequent ones, are kept."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.make(key)
+        if len(self) < CACHE:
+            self[key] = found
+        return found
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, with a cache of words."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, with caches of words and of what lies between blanks."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -67,27 +84,25 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.words, self.chunks = Known(self._word), Known(self._chunk)
 
     def _word(self, word: str) -> bytes:
         letters = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not text.isascii() and _WHOLE.search(text) or "<|" in text and _WHOLE.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = _WORDS.findall(text.lower())
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            known = self.words
-            if len(known) > CACHE:  # keeps the words seen first, which are the frequent ones
-                known = {w: self.words[w] for w in words if w in self.words}
-            for w in set(words).difference(known):
-                known[w] = self._word(w)
-            return b"".join(map(known.__getitem__, words))
+        low = text.lower()
+        # No word crosses a blank, so what lies between blanks is looked up whole.
+        if _SEPARATORS.search(low):
+            return b"".join(map(self.words.__getitem__, _WORDS.findall(low)))
+        return b"".join(map(self.chunks.__getitem__, low.split()))
 
 
 _encoders: dict[str, Encoder] = {}
