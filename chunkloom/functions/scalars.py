@@ -46,11 +46,12 @@ def stretched(value: Column, low: Column, high: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    """Bytes with a binary unit and one decimal."""
+    """Bytes with a binary unit and one decimal, halves rounded to even."""
     units = ("B", "KiB", "MiB", "GiB", "TiB")
-    out = F.format_string("%.1f TiB", n / float(1 << 40))
+    shown = lambda k: F.format_string(f"%.1f {units[k]}", F.bround(n / float(1 << (10 * k)), 1))
+    out = shown(4)
     for k in range(3, 0, -1):
-        out = F.when(n < 1 << (10 * (k + 1)), F.format_string(f"%.1f {units[k]}", n / float(1 << (10 * k)))).otherwise(out)
+        out = F.when(n < 1 << (10 * (k + 1)), shown(k)).otherwise(out)
     return F.when(n < 1024, F.format_string("%d B", n)).otherwise(out)
 
 

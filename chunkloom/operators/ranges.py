@@ -1,6 +1,8 @@
 """Running sums, numbers and exact quantiles of keys that may hold any share of the rows.
 
-A key's values are dealt to equal ranges; sums of whole ranges shift the sums within one, so no task holds a key.
+Rows are dealt by sampled ranges of (key, value), so that a part holds about as many rows as any other, whatever the
+values and however few keys; sums of whole parts shift the sums within one. Only equal values of a key have to share
+a part. Rows without a key take no part.
 """
 
 from __future__ import annotations
@@ -9,20 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PARTS = 1024
+from chunkloom.functions.scratch import cut
 
 
-def with_parts(rows: DataFrame, key: str, value: str, parts: int = PARTS) -> DataFrame:
-    """rows with `part`: which of `parts` equal ranges of the key's values holds this one."""
-    ends = rows.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    place = F.floor((F.col(value) - F.col("_lo")) * parts / (F.col("_hi") - F.col("_lo") + 1).cast("double"))
-    return rows.join(ends, key).withColumn("part", F.least(F.lit(parts - 1), place)).drop("_lo", "_hi")
+def with_parts(rows: DataFrame, key: str, value: str, parts: int | None = None) -> DataFrame:
+    """rows with `part`, ascending with the key and its value; written, so that each row keeps its part. parts: how many at most, by default the session's shuffle partitions."""
+    kept = rows.where(F.col(key).isNotNull())
+    dealt = kept.repartitionByRange(parts, key, value) if parts else kept.repartitionByRange(key, value)
+    return cut(dealt.withColumn("part", F.spark_partition_id()), "parts")
 
 
-def running(rows: DataFrame, key: str, value: str, amount: str, parts: int = PARTS) -> DataFrame:
+def running(rows: DataFrame, key: str, value: str, amount: str, parts: int | None = None) -> DataFrame:
     """rows (one for each key and value) with `through`, the sum of amount up to and with the value, and the key's `total`."""
     placed = with_parts(rows, key, value, parts)
-    sums = placed.groupBy(key, "part").agg(F.sum(amount).alias("_sum"))  # at most `parts` rows a key
+    sums = placed.groupBy(key, "part").agg(F.sum(amount).alias("_sum"))  # at most one row a part and key
     order = W.partitionBy(key).orderBy("part")
     before = sums.select(key, "part", (F.sum("_sum").over(order) - F.col("_sum")).alias("_before"), F.sum("_sum").over(W.partitionBy(key)).alias("total"))
     here = F.sum(amount).over(W.partitionBy(key, "part").orderBy(value))

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chunkloom.operators import geometry, graphs, inliers, labels, order, profiles, ranges, records, sampling, volumes
 from chunkloom.operators import statistics as stats
@@ -204,3 +205,13 @@ def test_samples_do_not_depend_on_partitions(spark):
     stacks = spark.range(30).select(spark.range(1).columns[0]).withColumnRenamed("id", "stack").selectExpr("stack", "stack % 7 as planes")
     one, two = (rows(sampling.uniform_planes(stacks.repartition(n), 12, "s"), "stack", "z") for n in (1, 6))
     assert one == two and len(set(one)) == 12
+
+
+def test_sizes_round_halves_to_even(spark):
+    from chunkloom.functions.scalars import human_bytes
+
+    sizes = [0, 1023, 1024, 112_896, 112_640 + 768, 484_704_256, 1_073_741_824 * 5 // 4, 1 << 50]
+    got = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", human_bytes(F.col("n")).alias("s")).collect()
+    units = [(1 << 10 * k, u) for k, u in ((4, "TiB"), (3, "GiB"), (2, "MiB"), (1, "KiB"))]
+    want = {n: next((f"{n / d:.1f} {u}" for d, u in units if n >= d), f"{n} B") for n in sizes}
+    assert {r["n"]: r["s"] for r in got} == want and want[112_896] == "110.2 KiB"
