@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from chunkloom.jobs import fits, geometry, graphs, labels, measures, order, planning, profiles, records, statistics, volumes
+from chunkloom.jobs import fits, geometry, graphs, labels, measures, mesh, order, planning, profiles, records, statistics, volumes
 from chunkloom.streaming import slabs
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (labels, graphs, geometry, statistics, order, planning, measures, fits, records, profiles, volumes, slabs):
+for _module in (labels, graphs, geometry, statistics, order, planning, measures, mesh, fits, records, profiles, volumes, slabs):
     QUERIES |= _module.JOBS.queries
     ORACLE_SQL |= _module.JOBS.sql

@@ -124,3 +124,24 @@ def closest_triangles(points: DataFrame, triangles: DataFrame, cell: float) -> D
     place = nearest_place()
     found = near.select("n", "id", "face", place.alias("place")).select("n", "id", F.struct("place.d2", "face", "place.feature", "place.b0", "place.b1", "place.b2").alias("place"))
     return found.groupBy("n").agg(F.min("place").alias("place"), F.first("id").alias("id")).select("id", "place.face", "place.d2", "place.feature", "place.b0", "place.b1", "place.b2")
+
+
+def sides(found: DataFrame, points: DataFrame, triangles: DataFrame, rims: DataFrame, most: float) -> DataFrame:
+    """(id, depth, rim, inside) for the nearest places of closest_triangles(): whether points lie within `most` under a surface.
+
+    triangles (face, v0, v1, v2, ax, ...) have an outward normal by the order of their corners; rims (a, b) are the
+    edges that one triangle uses, and a place on such an edge, or at one of its vertices, is on the rim and not inside.
+    Ids have to be unique.
+    """
+    known = found.join(points, "id").join(triangles, "face")
+    ends = F.transform(F.filter(F.array(*[F.struct(F.col(f"b{k}").alias("b"), F.col(f"v{k}").alias("v")) for k in range(3)]), lambda c: c["b"] > 0), lambda c: c["v"])
+    known = known.withColumns({"e0": F.array_min(ends), "e1": F.array_max(ends)})
+    edges = rims.select(F.least("a", "b").alias("e0"), F.greatest("a", "b").alias("e1"), F.lit(True).alias("edge"))
+    corners = rims.select(F.explode(F.array("a", "b")).alias("e0")).distinct().withColumn("corner", F.lit(True))
+    known = known.join(edges, ["e0", "e1"], "left").join(corners, "e0", "left")
+    rim = F.when(F.col("feature") == "edge", F.col("edge").isNotNull()).when(F.col("feature") == "vertex", F.col("corner").isNotNull()).otherwise(False)
+    u, v, w = _minus(_at("b"), _at("a")), _minus(_at("c"), _at("a")), _minus(_at("p"), _at("a"))
+    normal = [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
+    # The place lies in the triangle's plane, so any corner gives the same height.
+    under = _dot(normal, w) <= 0
+    return known.select("id", F.sqrt("d2").alias("depth"), rim.alias("rim"), (under & ~rim & (F.sqrt("d2") <= most)).alias("inside"))
