@@ -24,7 +24,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -222,10 +224,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def random_spans(text: str, runs: list[tuple[int, int]], taken: list[tuple[str, int, int]], fit: float = FIT, rate: float = RATE) -> list[tuple[str, int, int]]:
     """Runs (code point ranges) that fit a random string and not text."""
     p = [unlike_text(text[a:b]) for a, b in runs]
+    spans = sorted((s, e) for _, s, e in taken)
+    starts, reach = [s for s, _ in spans], [0, *accumulate((e for _, e in spans), max)]
     return [
         ("random", a, b)
         for (a, b), found in zip(runs, discoveries(p, rate, [b - a for a, b in runs]))
-        if found and randomness(text[a:b]) > fit and not any(s < b and a < e for _, s, e in taken)
+        if found and randomness(text[a:b]) > fit and reach[bisect_left(starts, b)] <= a
     ]
 
 
@@ -258,11 +262,12 @@ def scan_batch(values: pa.Array) -> list[tuple[list, list]]:
             text = own.decode("utf-8", "surrogatepass")
             base = base_spans(text) if pattern[k] else []
             runs = []
+            byte = point = 0  # the same place, in bytes and in code points
             for r in range(firsts[k], lasts[k]):
                 a, b = int(starts[r] - bounds[k]), int(ends[r] - bounds[k])
-                if len(text) != len(own):  # byte offsets to code points
-                    a = len(own[:a].decode("utf-8", "surrogatepass"))
-                    b = a + int(ends[r] - starts[r])
+                if len(text) != len(own):
+                    byte, point = a, point + len(own[byte:a].decode("utf-8", "surrogatepass"))
+                    a, b = point, point + b - a
                 runs.append((a, b))
             out.append((base, random_spans(text, runs, base)))
     return out

@@ -118,7 +118,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, block: int = BLOCK,
     sample: dict[int, list] = {}
     for r in rows:
         sample.setdefault(len(r["v"]), []).append(r["v"])
-    cells = Cells({m: np.array(v, np.int64).reshape(len(v), m) for m, v in sample.items()}, max(1, min(PIVOTS, -(-n // block))))
+    cells = Cells({m: np.array(v, np.int64).reshape(len(v), m) for m, v in sample.items()}, max(1, min(PIVOTS, max(math.isqrt(n), -(-n // block)))))
     shared = spark.sparkContext.broadcast(cells)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

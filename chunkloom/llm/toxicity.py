@@ -185,7 +185,7 @@ def features(text: str | None, found: ahocorasick.Automaton | None) -> np.ndarra
     for start in sorted(hits):
         if start < at:
             continue
-        begin = max((low.rfind(c, 0, start) for c in ".!?;:\n")) + 1
+        begin = max(low.rfind(c, at, start) for c in ".!?;:\n") + 1  # the clause before ends at one of them
         stop = _CLAUSE.search(low, start)
         at = stop.start() if stop else len(low)
         words = [(m[0].replace("'", ""), *hits.get(m.start(), (0, "", 0.0))[1:]) for m in _WORD.finditer(low, begin, at)]

@@ -109,7 +109,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, inline: int = INLIN
             .select("host", "path", F.explode(url_tokens(F.col("host"), F.col("path"))).alias("token"))
             .join(by_token, "token").where(F.rlike(address, F.col("candidate.regex")))
             .groupBy("host", "path")
-            .agg(F.max_by("candidate", F.struct(~F.col("candidate.pattern"), F.col("candidate.size"), F.col("candidate.name"))).alias("best"))
+            .agg(F.min_by("candidate", F.struct("candidate.pattern", F.when(F.col("candidate.pattern"), 0).otherwise(-F.col("candidate.size")), "candidate.name")).alias("best"))
         )
         fitting = pages.join(found, ["host", "path"], "left").withColumn("fits", F.array_compact(F.array("best")))
     hosts = F.filter("fits", lambda r: ~r["pattern"])
