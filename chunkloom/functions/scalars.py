@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,3 +78,44 @@ def to_index(x: Column, y: Column, origin: tuple[float, float], spacing: float,
     c, s = direction
     dx, dy = x - origin[0], y - origin[1]
     return (c * dx + s * dy) / spacing, (c * dy - s * dx) / spacing
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def clipped(polygon: Column, axis: str, bound: Column, above: bool) -> Column:
+    """The part of a polygon, an array of (x, y) in order, at or above a bound of an axis, or below it."""
+    other = "y" if axis == "x" else "x"
+    inside = lambda p: p[axis] >= bound if above else p[axis] < bound
+
+    def cross(p: Column, q: Column) -> Column:
+        at = p[other] + (bound - p[axis]) / (q[axis] - p[axis]) * (q[other] - p[other])
+        place = {axis: bound.cast("double"), other: at}
+        return F.struct(place["x"].alias("x"), place["y"].alias("y"))
+
+    none = F.array().cast("array<struct<x:double,y:double>>")
+
+    def part(points: Column) -> Column:
+        before = lambda i: F.when(i == 0, F.element_at(points, -1)).otherwise(F.get(points, i - 1))
+        return F.flatten(
+            F.transform(
+                points,
+                lambda p, i: _let(before(i), lambda q: F.concat(F.when(inside(p) != inside(q), F.array(cross(q, p))).otherwise(none), F.when(inside(p), F.array(F.struct(p["x"].alias("x"), p["y"].alias("y")))).otherwise(none))),
+            )
+        )
+
+    return _let(polygon, lambda points: F.when(F.size(points) > 0, part(points)).otherwise(none))
+
+
+def clipped_area(polygon: Column, low_x: Column, high_x: Column, low_y: Column, high_y: Column) -> Column:
+    """The area of a polygon, an array of (x, y) doubles in order, within a rectangle; convex polygons only, as parts of others would be joined."""
+    for axis, bound, above in (("x", low_x, True), ("x", high_x, False), ("y", low_y, True), ("y", high_y, False)):
+        polygon = clipped(polygon, axis, bound, above)
+
+    def area(points: Column) -> Column:
+        turns = F.transform(points, lambda p, i: _let(F.get(points, (i + 1) % F.size(points)), lambda q: p["x"] * q["y"] - q["x"] * p["y"]))
+        return F.abs(F.aggregate(turns, F.lit(0.0), lambda s, t: s + t)) / 2
+
+    return _let(polygon, lambda points: F.when(F.size(points) > 0, area(points)).otherwise(0.0))

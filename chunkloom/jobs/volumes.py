@@ -395,3 +395,33 @@ def overlap_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     va, vb = n * F.col("aa") - F.col("a") * F.col("a"), n * F.col("bb") - F.col("b") * F.col("b")
     r = (n * F.col("ab") - F.col("a") * F.col("b")).cast("double") / F.nullif(F.sqrt(va.cast("double") * vb.cast("double")), F.lit(0.0))
     return sums.select("band", "n", F.when((n >= 8) & (va > 0) & (vb > 0), F.round(r, 9)).alias("r"))
+
+
+def _clipped_sql(points: str, axis: str, bound: str, above: bool) -> str:
+    """A polygon's part on one side of a bound, as a list; the SQL goes over positions."""
+    other = "y" if axis == "x" else "x"
+    inside = lambda p: f"({p}.{axis} >= {bound})" if above else f"({p}.{axis} < {bound})"
+    now, before = "p[i]", "p[case when i = 1 then len(p) else i - 1 end]"
+    at = f"({before}).{other} + ({bound} - ({before}).{axis}) / (({now}).{axis} - ({before}).{axis}) * (({now}).{other} - ({before}).{other})"
+    cross = f"{{'x': {bound if axis == 'x' else at}, 'y': {at if axis == 'x' else bound}}}"
+    now_in, before_in = inside(f"({now})"), inside(f"({before})")
+    return f"""select id, x0, x1, y0, y1, flatten(list_transform(range(1, len(p) + 1), lambda i: list_concat(case when {now_in} <> {before_in} then [{cross}] else [] end, case when {now_in} then [{now}] else [] end))) as p from ({points})"""
+
+
+_CORNERS = [("lo % 50", "y_lo % 40"), ("lo % 50 + 10 + id % 7", "y_lo % 40 + id % 5"), ("lo % 50 + 12", "y_lo % 40 + 9 + id % 11"), ("lo % 50 + 3", "y_lo % 40 + 12")]
+_POLYGON = f"""select id, (lo % 17 + 12)::double as x0, (lo % 17 + 42)::double as x1, (y_lo % 13 + 9)::double as y0, (y_lo % 13 + 30)::double as y1, [{", ".join(f"{{'x': ({x})::double, 'y': ({y})::double}}" for x, y in _CORNERS)}] as p from boxes"""
+
+
+def _areas_sql() -> str:
+    points = _POLYGON
+    for axis, bound, above in (("x", "x0", True), ("x", "x1", False), ("y", "y0", True), ("y", "y1", False)):
+        points = _clipped_sql(points, axis, bound, above)
+    return f"select id, round(abs(coalesce(list_sum(list_transform(range(1, len(p) + 1), lambda i: p[i].x * p[i % len(p) + 1].y - p[i % len(p) + 1].x * p[i].y)), 0)) / 2, 6) as area from ({points})"
+
+
+@JOBS.add(_areas_sql(), "boxes")
+def clipped_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area of four-cornered regions within rectangles."""
+    at = [F.struct(F.expr(x).cast("double").alias("x"), F.expr(y).cast("double").alias("y")) for x, y in _CORNERS]
+    box = [F.expr(e).cast("double") for e in ("lo % 17 + 12", "lo % 17 + 42", "y_lo % 13 + 9", "y_lo % 13 + 30")]
+    return A.boxes(spark, sf_dir).select("id", F.round(scalars.clipped_area(F.array(*at), *box), 6).alias("area"))

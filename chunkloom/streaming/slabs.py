@@ -58,6 +58,17 @@ def hourly_counts(rows: DataFrame, path: str, delay: str) -> DataFrame:
     return cut(parts.groupBy("kind", "start").agg(F.max_by("n", "batch").alias("n")))
 
 
+def closed_sessions(rows: DataFrame, path: str, gap: str, delay: str) -> DataFrame:
+    """(kind, start, stop, n) of rows (kind, ts): runs of a kind's rows less than `gap` apart, once the watermark, `delay` behind the latest row, has passed their last row and the gap.
+
+    A session is written once, in the batch that closes it; those still open stay in the stream's state and are written
+    by a later run over the same path. Rows behind the watermark are left out.
+    """
+    sessions = rows.withWatermark("ts", delay).groupBy("kind", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
+    one = lambda b: b.select("kind", F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("w.end").cast("timestamp_ntz").alias("stop"), "n")
+    return rows.sparkSession.read.schema("kind string, start timestamp_ntz, stop timestamp_ntz, n long, batch int").parquet(gathered(sessions, path, one)).drop("batch")
+
+
 @JOBS.add("select l_linenumber as slab, count(*) as n, sum(round(l_extendedprice * 100)::bigint)::bigint as total, min(round(l_extendedprice * 100)::bigint) as least, max(round(l_extendedprice * 100)::bigint) as most from lineitem group by 1")
 def streamed_slab_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("slab"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("v"))
@@ -83,3 +94,18 @@ def streamed_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts by hour. The table's rows come in one batch, in which nothing is late."""
     rows = stream(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), F.col("ts").cast("timestamp").alias("ts"))
     return hourly_counts(rows, f"{folder(spark)}/hours-{uuid.uuid4().hex}", "1 day").withColumnRenamed("kind", "event_type")
+
+
+GAP, DELAY = 20, 60
+
+
+@JOBS.add(
+    f"""with marked as (select event_type, ts, case when ts < lag(ts) over w + interval {GAP} minute then 0 else 1 end as begins from events window w as (partition by event_type order by ts)),
+named as (select *, sum(begins) over (partition by event_type order by ts rows unbounded preceding) as session from marked),
+sessions as (select event_type, min(ts) as start, max(ts) + interval {GAP} minute as stop, count(*) as n from named group by event_type, session)
+select event_type, start, stop, n from sessions where stop <= (select max(ts) from events) - interval {DELAY} minute"""
+)
+def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of events that the watermark has closed at the stream's end."""
+    rows = stream(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), F.col("ts").cast("timestamp").alias("ts"))
+    return closed_sessions(rows, f"{folder(spark)}/sessions-{uuid.uuid4().hex}", f"{GAP} minutes", f"{DELAY} minutes").withColumnRenamed("kind", "event_type")

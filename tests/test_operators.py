@@ -215,3 +215,17 @@ def test_sizes_round_halves_to_even(spark):
     units = [(1 << 10 * k, u) for k, u in ((4, "TiB"), (3, "GiB"), (2, "MiB"), (1, "KiB"))]
     want = {n: next((f"{n / d:.1f} {u}" for d, u in units if n >= d), f"{n} B") for n in sizes}
     assert {r["n"]: r["s"] for r in got} == want and want[112_896] == "110.2 KiB"
+
+
+def test_clipped_areas_against_closed_forms(spark):
+    from chunkloom.functions.scalars import clipped_area
+
+    square, triangle = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)], [(0.0, 0.0), (6.0, 0.0), (0.0, 6.0)]
+    cases = [
+        (square, (1, 3, 1, 3), 4.0), (square, (-9, 9, -9, 9), 16.0), (square, (5, 9, 0, 4), 0.0), (square, (4, 9, 0, 4), 0.0), (square, (2, 9, -3, 1), 2.0), (square[::-1], (2, 9, -3, 1), 2.0),
+        (triangle, (0, 6, 0, 6), 18.0), (triangle, (3, 9, 0, 9), 4.5), (triangle, (0, 2, 0, 2), 4.0), (triangle, (2, 6, 2, 6), 2.0), ([], (0, 1, 0, 1), 0.0), ([(1.0, 1.0), (2.0, 2.0)], (0, 3, 0, 3), 0.0),
+    ]
+    rows = [(i, p, *map(float, box)) for i, (p, box, _) in enumerate(cases)]
+    table = spark.createDataFrame(rows, "i int, p array<struct<x:double,y:double>>, a double, b double, c double, d double")
+    got = {r["i"]: r["area"] for r in table.select("i", clipped_area(F.col("p"), *[F.col(c) for c in "abcd"]).alias("area")).collect()}
+    assert got == {i: pytest.approx(want) for i, (*_, want) in enumerate(cases)}

@@ -46,3 +46,19 @@ def test_halos_reach_the_neighbours_only(spark):
     rows = spark.range(12).select(F.col("id").alias("z"))
     found = sorted((r["slab"], r["z"], r["core"]) for r in slabs.with_halos(rows, 5, 1).where("slab < 2").collect())
     assert [z for s, z, core in found if s == 0] == [0, 1, 2, 3, 4, 5] and [z for s, z, core in found if s == 1 and not core] == [4, 10]
+
+
+def test_sessions_close_by_the_watermark_and_over_a_restart(spark, tmp_path):
+    start, schema, data, state = datetime(2024, 1, 1), "kind string, ts timestamp", tmp_path / "data", str(tmp_path / "state")
+    minutes = lambda found: sorted((r["kind"], (r["start"] - start).total_seconds() / 60, (r["stop"] - start).total_seconds() / 60, r["n"]) for r in found.collect())
+
+    def run(*batches):
+        for batch in batches:
+            write(spark, data, [(k, start + timedelta(minutes=m)) for k, m in batch], schema)
+        return minutes(slabs.closed_sessions(read(spark, data, schema), state, "10 minutes", "30 minutes"))
+
+    # The second file joins the first one's sessions; nothing is closed before minute 40 + 30 has been seen.
+    assert run([("a", 0), ("b", 3)], [("a", 5), ("a", 14), ("a", 30)]) == []
+    # Minute 100 closes what ended by 70; rows are late by the watermark of two files before, so that of minute 6 goes.
+    assert run([("a", 100)], [("a", 105)], [("a", 6)]) == [("a", 0, 24, 3), ("a", 30, 40, 1), ("b", 3, 13, 1)]
+    assert run([("b", 200)]) == [("a", 0, 24, 3), ("a", 30, 40, 1), ("a", 100, 115, 2), ("b", 3, 13, 1)]
