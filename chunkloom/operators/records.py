@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +16,8 @@ VERSIONS = "version long, path string, n long"
 def publish(df: DataFrame, root: str, kind: str = "parquet", **options: str) -> int:
     """Write df under root as a new version and list it once as many rows can be read back as were written; its number of rows.
 
-    Data go to a folder of their own, and readers only follow the list, so that nobody sees half a version.
+    Data go to a folder of their own, and readers only follow the list, so that nobody sees half a version. A version's
+    number is claimed by making its file where there is none, so two publishers get two numbers.
     """
     spark = df.sparkSession
     seen, path = Observation(), f"{root}/data-{uuid.uuid4().hex}"
@@ -23,16 +26,42 @@ def publish(df: DataFrame, root: str, kind: str = "parquet", **options: str) ->
     held = spark.read.schema(df.schema).options(**options).format(kind).load(path).count()
     if held != written:
         raise RuntimeError(f"{written} rows were written and {held} read back")
-    last = versions(spark, root).agg(F.max("version")).first()[0]
-    spark.createDataFrame([((last or 0) + 1, path, written)], VERSIONS).write.mode("append").parquet(f"{root}/versions")
+    files, place = _folder(spark, root)
+    last = max(_listed(files, place), default=0)
+    while True:
+        last += 1
+        try:
+            # Only one publisher can make the file of a number.
+            out = files.create(spark._jvm.org.apache.hadoop.fs.Path(place, f"{last:012d}.json"), False)
+            break
+        except Py4JJavaError as error:
+            if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(place, f"{last:012d}.json")):
+                raise error
+    out.write((json.dumps({"version": last, "path": path, "n": written}) + "\n").encode())
+    out.close()
     return written
 
 
+def _folder(spark: SparkSession, root: str) -> tuple:
+    """The file system and the folder of the list of versions."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/versions")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _listed(files, place) -> list[int]:
+    """Numbers of the versions in the list, also those whose publisher hasn't written their row yet."""
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place)]
+    return [int(n.removesuffix(".json")) for n in names if n.endswith(".json")]
+
+
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """(version, path, n) of what is published under root."""
-    # An empty part makes the folder exist.
-    spark.createDataFrame([], VERSIONS).write.mode("append").parquet(f"{root}/versions")
-    return spark.read.schema(VERSIONS).parquet(f"{root}/versions")
+    """(version, path, n) of what is published under root. Readers write nothing; where nothing was published, there are no rows."""
+    files, place = _folder(spark, root)
+    if not _listed(files, place):
+        return spark.createDataFrame([], VERSIONS)
+    return spark.read.schema(VERSIONS).option("mode", "DROPMALFORMED").json(f"{root}/versions").where("path is not null")
 
 
 def latest(spark: SparkSession, root: str, schema: str, kind: str = "parquet", **options: str) -> DataFrame:

@@ -229,3 +229,18 @@ def test_clipped_areas_against_closed_forms(spark):
     table = spark.createDataFrame(rows, "i int, p array<struct<x:double,y:double>>, a double, b double, c double, d double")
     got = {r["i"]: r["area"] for r in table.select("i", clipped_area(F.col("p"), *[F.col(c) for c in "abcd"]).alias("area")).collect()}
     assert got == {i: pytest.approx(want) for i, (*_, want) in enumerate(cases)}
+
+
+def test_publishers_at_once_get_versions_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = f"file://{tmp_path}/store"
+    assert records.versions(spark, root).count() == 0 and not (tmp_path / "store").exists()
+    with ThreadPoolExecutor(4) as pool:
+        written = list(pool.map(lambda k: records.publish(spark.range(k + 1), root), range(4)))
+    held = records.versions(spark, root).collect()
+    assert written == [1, 2, 3, 4] and sorted(r["version"] for r in held) == [1, 2, 3, 4] and sorted(r["n"] for r in held) == written
+    last = max(held, key=lambda r: r["version"])
+    before = sorted(p.name for p in (tmp_path / "store" / "versions").iterdir())
+    assert records.latest(spark, root, "id long").count() == last["n"]
+    assert sorted(p.name for p in (tmp_path / "store" / "versions").iterdir()) == before  # readers write nothing
