@@ -32,7 +32,7 @@ JOBS.sql["merged_label_components"] = JOBS.sql["merged_label_components"].replac
 
 @JOBS.add(
     """select fixed, moving, count(*) filter (where accepted) as accepted, count(*) filter (where not accepted) as rejected,
-  sum(shift) filter (where accepted) / nullif(count(*) filter (where accepted), 0) as mean, min(shift) filter (where accepted) as least, max(shift) filter (where accepted) as most,
+  sum(shift) filter (where accepted) / nullif(count(*) filter (where accepted), 0) as mean, median(shift) filter (where accepted) as median, round(stddev_pop(shift) filter (where accepted), 9) as deviation, min(shift) filter (where accepted) as least, max(shift) filter (where accepted) as most,
   max(shift) filter (where accepted) - min(shift) filter (where accepted) as span from edges group by 1, 2""",
     "edges",
 )

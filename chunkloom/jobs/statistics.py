@@ -87,9 +87,12 @@ def tile_balanced_p90(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.tile_balanced(A.tracks(spark, sf_dir))
 
 
+_TERMS = ("zz", "zy", "zx", "yy", "yx", "xx")
+
+
 @JOBS.add(
-    """also sums as (select label, sum(v)::bigint as weight, sum(v * y)::bigint as wy, sum(v * x)::bigint as wx, sum(v::hugeint * y * x) as wyx from voxels where label > 0 group by 1)
-select label, weight, round(wy / weight, 6) as mean_y, round(wx / weight, 6) as mean_x, round(wyx::double / weight - (wy / weight) * (wx / weight), 4) as cov from sums""",
+    "also sums as (select label, sum(v)::bigint as weight, " + ", ".join(f"sum(v::hugeint * {a}) as s{a}" for a in "zyx") + ", " + ", ".join(f"sum(v::hugeint * {a} * {b}) as s{a}{b}" for a, b in _TERMS) + " from voxels where label > 0 group by 1)\n"
+    "select label, weight, " + ", ".join(f"round(s{a}::double / weight, 6) as mean_{a}" for a in "zyx") + ", " + ", ".join(f"round((weight * s{a}{b} - s{a} * s{b})::double / weight / weight, 6) as {a}{b}" for a, b in _TERMS) + " from sums",
     "voxels",
 )
 def weighted_label_moments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,12 +40,14 @@ def components(edges: DataFrame, name: str = "star") -> DataFrame:
 
 
 def pair_summary(edges: DataFrame) -> DataFrame:
-    """Accepted and rejected counts of each pair of tiles, and the accepted shifts' mean, least, most and range."""
+    """Accepted and rejected counts of each pair of tiles, and the accepted shifts' mean, median, population deviation, least, most and range."""
     kept = F.when(F.col("accepted"), F.col("shift"))
     return edges.groupBy("fixed", "moving").agg(
         F.sum(F.col("accepted").cast("long")).alias("accepted"),
         F.sum((~F.col("accepted")).cast("long")).alias("rejected"),
         (F.sum(kept) / F.count(kept)).alias("mean"),
+        F.median(kept).alias("median"),
+        F.round(F.stddev_pop(kept), 9).alias("deviation"),
         F.min(kept).alias("least"),
         F.max(kept).alias("most"),
         (F.max(kept) - F.min(kept)).alias("span"),

@@ -82,14 +82,17 @@ def tile_balanced(tracks: DataFrame) -> DataFrame:
 
 
 def weighted_moments(voxels: DataFrame) -> DataFrame:
-    """(label, weight, mean_y, mean_x, cov): intensity-weighted centroid and covariance of each label, from exact sums."""
-    d = "decimal(38,0)"
-    w = F.col("v").cast(d)
+    """(label, weight, mean_z, mean_y, mean_x, zz, zy, zx, yy, yx, xx): intensity-weighted centroid and covariances of each label, from exact sums."""
+    d, axes = "decimal(38,0)", "zyx"
+    terms = [(a, b) for i, a in enumerate(axes) for b in axes[i:]]
+    v = F.col("v").cast(d)
     sums = voxels.where(F.col("label") > 0).groupBy("label").agg(
-        F.sum("v").alias("weight"), F.sum(F.col("v") * F.col("y")).alias("wy"), F.sum(F.col("v") * F.col("x")).alias("wx"), F.sum((w * F.col("y") * F.col("x")).cast(d)).alias("wyx")
+        F.sum("v").alias("weight"), *[F.sum((v * F.col(a)).cast(d)).alias(f"s{a}") for a in axes], *[F.sum((v * F.col(a) * F.col(b)).cast(d)).alias(f"s{a}{b}") for a, b in terms]
     )
-    mean_y, mean_x = F.col("wy") / F.col("weight"), F.col("wx") / F.col("weight")
-    return sums.select("label", "weight", F.round(mean_y, 6).alias("mean_y"), F.round(mean_x, 6).alias("mean_x"), F.round(F.col("wyx").cast("double") / F.col("weight") - mean_y * mean_x, 4).alias("cov"))
+    exact = {c: F.col(c).cast(d) for c in ("weight", *[f"s{a}" for a in axes], *[f"s{a}{b}" for a, b in terms])}
+    means = [F.round(exact[f"s{a}"].cast("double") / F.col("weight"), 6).alias(f"mean_{a}") for a in axes]
+    apart = lambda a, b: (exact["weight"] * exact[f"s{a}{b}"]).cast(d) - (exact[f"s{a}"] * exact[f"s{b}"]).cast(d)
+    return sums.select("label", "weight", *means, *[F.round(apart(a, b).cast("double") / F.col("weight") / F.col("weight"), 6).alias(f"{a}{b}") for a, b in terms])
 
 
 def correlation(left: Column, right: Column, least: int) -> Column:
