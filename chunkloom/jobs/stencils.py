@@ -24,7 +24,7 @@ def _summary(voxels: DataFrame) -> DataFrame:
     f"""{_GRID},
 counts as (select v.z, v.y, v.x, v.label, count(*) filter (n.label = v.label) as same, count(*) filter (n.label = 0) as empty, count(*) filter (n.label > 0 and n.label <> v.label) as others,
     min(case when n.label > 0 and n.label <> v.label then n.label end) as low, max(case when n.label > 0 and n.label <> v.label then n.label end) as high
-  from grid v, near join grid n on n.z = v.z + dz and n.y = v.y + dy and n.x = v.x + dx where dz <> 0 or dy <> 0 or dx <> 0 group by 1, 2, 3, 4),
+  from grid v join (select z - dz as z, y - dy as y, x - dx as x, label from grid, near where dz <> 0 or dy <> 0 or dx <> 0) n using (z, y, x) group by 1, 2, 3, 4),
 done as (select z, y, x, case when label > 0 and same < 26 and others = 0 and empty > same then 0 when label > 0 and low = high and same + others >= {LEAST} and others > same + {MARGIN} then high
     when label = 0 and low = high and others >= {FILL} then high else label end as label from counts)
 select z, label, count(*) as n, sum(y * 1000 + x)::bigint as places from done where label > 0 group by 1, 2""",
@@ -40,7 +40,7 @@ def smoothed_label_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""also near(dz, dy, dx) as (select a.d, b.d, c.d from (values (-1), (0), (1)) a(d), (values (-1), (0), (1)) b(d), (values (-1), (0), (1)) c(d)),
 dense as materialized (select z, y, x, 1 + z // 5 * 9 + y // 12 * 3 + x // 12 as label from (select z::int as z, y::int as y, x::int as x from range((select max(z) + 1 from voxels)) a(z), range((select max(y) + 1 from voxels)) b(y), range((select max(x) + 1 from voxels)) c(x))
   anti join (select z, y, x from voxels where v % 16 = 0) using (z, y, x)),
-core as materialized (select z, y, x, v.label from dense v, near join (select z as nz, y as ny, x as nx, label as other from dense) n on nz = v.z + dz and ny = v.y + dy and nx = v.x + dx and other = v.label group by 1, 2, 3, 4 having count(*) = 27),
+core as materialized (select z, y, x, label from dense join (select z - dz as z, y - dy as y, x - dx as x, label from dense, near) n using (z, y, x, label) group by 1, 2, 3, 4 having count(*) = 27),
 kept as (select distinct z + dz as z, y + dy as y, x + dx as x, label from core, near)
 select z, label, count(*) as n, sum(y * 1000 + x)::bigint as places from dense anti join kept using (z, y, x, label) group by 1, 2""",
     "voxels",
