@@ -15,7 +15,7 @@ Null texts are empty, null roles are empty. Turns are ordered by turn number (nu
 repeated are turns repeated. A conversation is one output row, as its format is one string, so it has to stay under the
 2 GB of a Spark string; a variant holds 128 MB, so tables of turns are gathered as structs. Rows with a null
 conversation id form a conversation of their own, and rows of conversation -1 join the added one. Other columns are not
-read.
+read. A conversation's time grows with its length, but for sorting its turns and adding up their lengths (n log n).
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 # Fixed values.
 START, END = "<|im_start|>", "<|im_end|>"
 _TURNS = "array<struct<role:string,text:string>>"
+#: Code points of a block in which a range of the formatted string is looked up.
+BLOCK = 1024
 
 
 @dataclass(frozen=True)
@@ -184,17 +186,44 @@ def formatted(own: Column) -> Column:
     )
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value evaluated once for a row even where it is used within lambdas."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def running(values: Column) -> Column:
+    """Running sums of an array of longs, in rounds that double their reach: n log n steps, where a fold that appends takes n * n."""
+    def sums(v: Column) -> Column:
+        reach = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda d: d < F.size(v))
+        return F.aggregate(reach, v, lambda s, d: F.transform(s, lambda x, i: x + F.when(i >= d, F.get(s, i - d)).otherwise(F.lit(0).cast("long"))))
+
+    return let(values, sums)
+
+
 def loss_ranges(own: Column) -> Column:
     """(start, stop) code points of the assistants' texts in the formatted string."""
-    def add(s: Column, t: Column) -> Column:
+    tail = len(END) + 1
+
+    def sizes(t: Column) -> Column:
         role, text = escape_role(F.coalesce(t["role"], F.lit(""))), escape(F.coalesce(t["text"], F.lit("")))
-        first = s["at"] + len(START) + F.length(role) + 1
-        stop = first + F.length(text)
-        one = F.when(t["role"] == "assistant", F.array(F.struct(first.cast("long").alias("start"), stop.cast("long").alias("stop"))))
-        return F.struct((stop + len(END) + 1).cast("long").alias("at"), F.concat(s["found"], F.coalesce(one, F.array().cast("array<struct<start:long,stop:long>>"))).alias("found"))
+        return F.struct((len(START) + F.length(role) + 1 + F.length(text) + tail).cast("long").alias("all"), F.length(text).cast("long").alias("text"), F.coalesce(t["role"] == "assistant", F.lit(False)).alias("spoken"))
+
+    def ranges(each: Column) -> Column:
+        ends = running(F.transform(each, lambda x: x["all"]))
+        of = lambda e: F.transform(each, lambda x, i: F.when(x["spoken"], F.struct((F.get(e, i) - tail - x["text"]).alias("start"), (F.get(e, i) - tail).alias("stop"))))
+        return F.array_compact(let(ends, of))
+
+    return let(F.transform(own, sizes), ranges)
+
+
+def masked(text: Column, ranges: Column, then: Callable[[Column], Column]) -> Column:
+    """then() of the text in each range of code points, joined. The text is cut into blocks once, and a range reads its own blocks only."""
+    def cut(blocks: Column, r: Column) -> Column:
+        first, last = F.floor(r["start"] / BLOCK), F.floor(r["stop"] / BLOCK)
+        near = F.array_join(F.transform(F.sequence(first, last), lambda i: F.coalesce(F.get(blocks, i.cast("int")), F.lit(""))), "")
+        return then(F.substring(near, (r["start"] - first * BLOCK + 1).cast("int"), (r["stop"] - r["start"]).cast("int")))
 
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,stop:long>>").alias("found"))
-    return F.aggregate(own, zero, add, lambda s: s["found"])
+    return F.array_join(let(F.regexp_extract_all(text, F.lit(f"(?s)(.{{1,{BLOCK}}})"), 1), lambda blocks: F.transform(ranges, lambda r: cut(blocks, r))), "")
 
 
 def read_back(text: Column) -> Column:
@@ -236,7 +265,7 @@ def report(conversations: DataFrame) -> DataFrame:
     )
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(extra)
     made = chat(gathered(rows)).withColumn("back", read_back(F.col("formatted")))
-    spoken = F.array_join(F.transform("loss", lambda r: unescape(F.substring(F.col("formatted"), (r["start"] + 1).cast("int"), (r["stop"] - r["start"]).cast("int")))), "")
+    spoken = masked(F.col("formatted"), F.col("loss"), unescape)
     all_turns = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return made.select(
         "conv_id",
