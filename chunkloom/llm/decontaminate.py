@@ -5,10 +5,11 @@ consecutive words of an item; an item with fewer words, but some, is one window.
 words joined by single spaces with a space at both ends, so that a match starts and ends at words; match
 offsets map to word numbers, and these to code point offsets in the original text.
 
-An automaton takes about 300 bytes of memory for a byte of item text (measured), so it is built from at most
-`max_item_bytes` bytes of items, which is also all that the driver collects. A larger benchmark stays a table: tasks
-test the windows of each text against a bitmap of BITS bits (no window of an item is missed), and only windows that
-pass are joined with the items' windows. Either way the documents are scanned once, and each row of documents gives
+An automaton takes about 400 bytes of memory for a byte of item text (measured), so items are dealt to parts of at most
+`max_item_bytes` bytes, an item that is longer to several that share `width` - 1 words. A part is all that the driver
+collects and broadcasts at a time, and each part has an automaton and a pass over the documents. One part, the usual
+case, is one narrow pass. With more, the first writes a row for each document and the others write the rows that they
+hit, and these meet by row. A single window of more bytes than that is a part of its own. Each row of documents gives
 one row, whatever its doc_id.
 
 Null and empty texts have no words; rows that repeat an item_id count as one item; items without words, or with a
@@ -18,28 +19,24 @@ null item_id, never hit.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkloom.llm import kernels as K
-from chunkloom.llm.common import bounded_batches, hot_left_join, materialize
+from chunkloom.llm.common import bounded_batches, materialize
 
 WIDTH = 10
-#: Bytes of item texts in the automaton.
+#: Bytes of item texts in one automaton.
 MAX_ITEM_BYTES = 1 << 20
-#: The bitmap of window hashes has 2 ** BITS bits.
-BITS = 28
-_PAGE = 1 << 15
 _LETTERS = bytes(c for c in range(256) if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c > 127)
 _FOLD = bytes((c + 32 if 65 <= c <= 90 else c if c in _LETTERS else 32) for c in range(256))
-_KIND = K.kinds(bytes(c for c in range(256) if c not in _LETTERS), rest=1)
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
-_STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 _RANGES = "array<struct<first:long,stop:long>>"
 _SPANS = "array<struct<start:long,stop:long>>"
 
@@ -78,14 +75,15 @@ def automaton(items: list[tuple[int, str]], width: int) -> ahocorasick.Automaton
     return found
 
 
-def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Ranges that overlap or touch, joined, in order."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(ranges):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
+def united(ranges: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+    """Ranges (first, stop) that overlap or touch, joined, in order; with (start, end) of the text behind, also those."""
+    out: list[tuple[int, ...]] = []
+    for r in sorted(ranges):
+        if out and r[0] <= out[-1][1]:
+            last = out[-1]
+            out[-1] = tuple(max(x, y) if k % 2 else x for k, (x, y) in enumerate(zip(last, r)))
         else:
-            out.append((a, b))
+            out.append(r)
     return out
 
 
@@ -113,143 +111,153 @@ def offsets(text: str | None, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(at[a][0], at[b - 1][1]) for a, b in ranges]
 
 
-def _usable(items: DataFrame) -> DataFrame:
-    return items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+def pieces(text: str | None, width: int, most: int) -> Iterator[str]:
+    """Pieces of at most `most` bytes, or one window, that together hold the windows of a text and no others."""
+    words = normalise(text)
+    first = 0
+    while first < len(words):
+        stop, size = first, 0
+        while stop < len(words) and (stop - first < width or size + len(words[stop]) + 1 <= most):
+            size += len(words[stop]) + 1
+            stop += 1
+        yield b" ".join(words[first:stop]).decode("utf-8", "surrogatepass")
+        if stop == len(words):
+            return
+        first = stop - width + 1
+
+
+def _parts(items: DataFrame, width: int, most: int) -> Iterator[list[tuple[int, str]]]:
+    """Pieces of items in lists of at most `most` bytes, or one piece."""
+    usable = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist()):
+                own = list(pieces(text, width, most))
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(own), pa.int64()), pa.array(own, pa.string())], ["item_id", "text"])
+
+    part, size = [], 0
+    for item, text in usable.mapInArrow(cut, "item_id long, text string").toLocalIterator():
+        n = len(text.encode("utf-8", "surrogatepass"))
+        if part and size + n > most:
+            yield part
+            part, size = [], 0
+        part.append((item, text))
+        size += n
+    if part:
+        yield part
+
+
+#: The automaton that this process built last, by the name of its part.
+_built: dict[str, ahocorasick.Automaton | None] = {}
+
+
+class _Part:
+    """A part of the items at the tasks; its automaton is built once a process."""
+
+    def __init__(self, spark: SparkSession, items: list[tuple[int, str]], width: int) -> None:
+        self.name, self.width, self.shared = uuid.uuid4().hex, width, spark.sparkContext.broadcast(items)
 
+    def automaton(self) -> ahocorasick.Automaton | None:
+        if self.name not in _built:
+            _built.clear()
+            _built[self.name] = automaton(self.shared.value, self.width)
+        return _built[self.name]
 
-def _small(items: DataFrame, max_item_bytes: int) -> bool:
-    return (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) <= max_item_bytes
 
+_PAIR = {name: pa.list_(pa.struct([(field, pa.int64()) for field in fields])) for name, fields in (("ranges", ("first", "stop")), ("spans", ("start", "stop")))}
 
-def _scanned(documents: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """One automaton; one narrow pass over documents (doc_id, text)."""
-    shared = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in items.collect()])  # within the bound
+
+def _pairs(rows: list[list[tuple[int, int]]], name: str) -> pa.Array:
+    fields = [f.name for f in _PAIR[name].value_type]
+    return pa.array([[dict(zip(fields, r)) for r in row] for row in rows], _PAIR[name])
+
+
+def _scanned(rows: DataFrame, part: _Part) -> DataFrame:
+    """rows with n_words, ranges, spans and items of a part instead of text."""
+    others = [f for f in rows.schema.fields if f.name != "text"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = automaton(shared.value, width)
+        found = part.automaton()
         for batch in batches:
             texts = batch["text"].to_pylist()
-            rows = [scan(t, found) for t in texts]
-            spans = [offsets(t, r[1]) for t, r in zip(texts, rows)]
+            own = [scan(t, found) for t in texts]
+            spans = [offsets(t, r[1]) for t, r in zip(texts, own)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch["doc_id"],
-                    pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([[{"first": a, "stop": b} for a, b in r[1]] for r in rows], pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))),
-                    pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                    pa.array([sorted(r[2]) for r in rows], pa.list_(pa.int64())),
+                    *[batch[f.name] for f in others],
+                    pa.array([r[0] for r in own], pa.int64()),
+                    _pairs([r[1] for r in own], "ranges"),
+                    _pairs(spans, "spans"),
+                    pa.array([sorted(r[2]) for r in own], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_words", "ranges", "spans", "items"],
+                [*[f.name for f in others], "n_words", "ranges", "spans", "items"],
             )
 
-    return documents.mapInArrow(apply, f"doc_id long, n_words long, ranges {_RANGES}, spans {_SPANS}, items array<long>")
-
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
+    return rows.mapInArrow(apply, f"{kinds}, n_words long, ranges {_RANGES}, spans {_SPANS}, items array<long>")
 
-def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
-    """A hash of each run of `width` words of one text's bytes; fewer words: none."""
-    data = K.LOWER[data]
-    starts, ends = K.spans(data, np.array([0, len(data)]), _KIND)
-    words, n = K.span_hashes(data, starts, ends), len(starts) - width + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for k in range(width):
-        total = total * _STEP + words[k : k + n]
-    return K.mix(total + np.uint64(width))
 
+def _met(passes: list[DataFrame]) -> DataFrame:
+    """One row for each row of documents from the passes over it: ranges united, items distinct."""
+    each = passes[0]
+    for other in passes[1:]:
+        each = each.unionByName(other)
+    place = F.arrays_zip(F.col("ranges.first").alias("first"), F.col("ranges.stop").alias("stop"), F.col("spans.start").alias("start"), F.col("spans.stop").alias("end"))
+    rows = each.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list(place)).alias("places"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    )
 
-def _joined(rows: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """(row, n_words, ranges, spans, items) for each of rows (row, text), by a join of windows."""
-    spark = rows.sparkSession
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist()):
-                own = list(dict.fromkeys(windows(text, width)))
-                if own:
-                    hashes = [window_hashes(np.frombuffer(w.encode("latin-1"), np.uint8), w.count(" ") - 1)[0] for w in own]
-                    n = [w.count(" ") - 1 for w in own]
-                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([item] * len(own), pa.int64()), pa.array(n, pa.int64()), pa.array(np.array(hashes, np.uint64).view(np.int64))], ["window", "item_id", "words", "hash"])
-
-    wanted = materialize(items.mapInArrow(listed, "window string, item_id long, words long, hash long").distinct(), "windows")
-    widths = sorted(r["words"] for r in wanted.select("words").distinct().collect())  # at most `width` rows
-    slot = F.shiftrightunsigned("hash", 64 - BITS) + 1
-    pages = wanted.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-    marks = np.zeros((1 << BITS) // 8, np.uint8)  # 2 ** BITS / 8 bytes, whatever the benchmark's size
-    for r in pages.toLocalIterator():
-        marks[(r["page"] - 1) * _PAGE // 8 :][: _PAGE // 8] = np.frombuffer(r["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(marks)
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("window", pa.string())]))
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, out = [], []
-            for text in batch["text"].to_pylist():
-                words = normalise(text)
-                data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
-                found = []
-                for w in widths:
-                    place = window_hashes(data, w) >> np.uint64(64 - BITS)
-                    found += [(int(i), int(i) + w) for i in np.flatnonzero((shared.value[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1)]
-                at = offsets(text, found)
-                counts.append(len(words))
-                out.append([{"first": a, "stop": b, "start": c, "end": d, "window": f" {b' '.join(words[a:b]).decode('latin-1')} "} for (a, b), (c, d) in zip(found, at)])
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(counts, pa.int64()), pa.array(out, kind)], ["row", "n_words", "found"])
-
-    part = "struct<first:long,stop:long,start:long,end:long,window:string>"
-    each = materialize(rows.mapInArrow(candidates, f"row long, n_words long, found array<{part}>"), "candidates")
-    met = each.select("row", F.inline("found"))
-    owners = wanted.groupBy("window").agg(F.collect_set("item_id").alias("owners"))
-    keyed = owners.join(met.groupBy("window").agg(F.count("*").alias("n")), "window")
-    held = hot_left_join(met, keyed, "window", "row", met.count()).where(F.col("owners").isNotNull())
-    span = F.struct("first", "stop", "start", "end").alias("r")
-    own = held.groupBy("row").agg(F.array_sort(F.collect_set(span)).alias("all"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("owners")))).alias("items"))
-    last = lambda done: F.element_at(done, -1)
-    grown = lambda done, r: F.struct(
-        last(done)["first"].alias("first"), F.greatest(last(done)["stop"], r["stop"]).alias("stop"), last(done)["start"].alias("start"), F.greatest(last(done)["end"], r["end"]).alias("end")
-    )
-    whole = F.aggregate(
-        "all",
-        F.array().cast("array<struct<first:long,stop:long,start:long,end:long>>"),
-        lambda done, r: F.when((F.size(done) > 0) & (last(done)["stop"] >= r["first"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown(done, r)))).otherwise(F.concat(done, F.array(r))),
-    )
-    own = own.select("row", whole.alias("all"), "items")
-    ranges = F.transform("all", lambda r: F.struct(r["first"].alias("first"), r["stop"].alias("stop")))
-    spans = F.transform("all", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("stop")))
-    made = own.select("row", ranges.alias("ranges"), spans.alias("spans"), "items")
-    none = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
-    return each.select("row", "n_words").join(made, "row", "left").select("row", "n_words", none("ranges", _RANGES), none("spans", _SPANS), none("items", "array<long>"))
+            own = [united([(p["first"], p["stop"], p["start"], p["end"]) for p in row]) for row in batch["places"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["n_words"], _pairs([[r[:2] for r in row] for row in own], "ranges"), _pairs([[r[2:] for r in row] for row in own], "spans"), batch["items"]],
+                ["doc_id", "n_words", "ranges", "spans", "items"],
+            )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(unite, f"doc_id {kind}, n_words long, ranges {_RANGES}, spans {_SPANS}, items array<long>")
 
 
 def hits(documents: DataFrame, items: DataFrame, width: int = WIDTH, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
     """(doc_id, n_words, ranges, spans, items) for each row: disjoint word ranges hit, their code points in the original text, and the items with occurring windows."""
-    bounded_batches(documents.sparkSession)
-    items = _usable(items)
-    if _small(items, max_item_bytes):
-        return _scanned(documents.select("doc_id", "text"), items, width)
-    rows = materialize(documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "rows")
-    return rows.select("doc_id", "row").join(_joined(rows.select("row", "text"), items, width), "row").drop("row")
-
-
-def clean(documents: DataFrame, items: DataFrame, width: int = WIDTH, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
-    """The rows of documents, with all their columns, that no window hits; each row is judged by its own text."""
     spark = documents.sparkSession
     bounded_batches(spark)
-    items = _usable(items)
-    if not _small(items, max_item_bytes):
-        rows = materialize(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"), F.monotonically_increasing_id().alias("row")), "rows")
-        hit = _joined(rows.select("row", F.col("own.text").alias("text")), items, width).where(F.size("ranges") > 0).select("row")
-        return rows.join(hit, "row", "left_anti").select("own.*")
-    shared = spark.sparkContext.broadcast([tuple(r) for r in items.collect()])  # within the bound
+    parts = _parts(items, width, max_item_bytes)
+    first, second = next(parts, []), next(parts, None)
+    if second is None:
+        return _scanned(documents.select("doc_id", "text"), _Part(spark, first, width))
+    rows = materialize(documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "rows")
+    passes = [materialize(_scanned(rows, _Part(spark, first, width)), "scanned")]
+    for part in chain([second], parts):
+        passes.append(materialize(_scanned(rows, _Part(spark, part, width)).where(F.size("items") > 0), "scanned"))
+    return _met(passes)
+
 
+def _unhit(documents: DataFrame, part: _Part) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = automaton(shared.value, width)
+        found = part.automaton()
         for batch in batches:
             yield batch.filter(pa.array([not scan(t, found)[1] for t in batch["text"].to_pylist()], pa.bool_()))
 
     return documents.mapInArrow(apply, documents.schema)
 
 
+def clean(documents: DataFrame, items: DataFrame, width: int = WIDTH, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
+    """The rows of documents, with all their columns, that no window hits; each row is judged by its own text.
+
+    Each further part of the items is one more pass over the rows that the parts before it kept.
+    """
+    spark = documents.sparkSession
+    bounded_batches(spark)
+    parts = _parts(items, width, max_item_bytes)
+    kept = _unhit(documents, _Part(spark, next(parts, []), width))
+    for part in parts:
+        kept = _unhit(materialize(kept, "kept"), _Part(spark, part, width))
+    return kept
+
+
 def report(documents: DataFrame, items: DataFrame, width: int = WIDTH, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each row of documents."""
     found = hits(documents, items, width, max_item_bytes)

@@ -1,12 +1,14 @@
 """Work that grows in proportion to one text's length, and rules and spans that tie."""
 
+import hashlib
 import random
 import time
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from chunkloom.llm import secrets, topk, toxicity, urls
+from chunkloom.llm import chat, decontaminate, secrets, topk, toxicity, urls
 
 
 def seconds(run, text):
@@ -15,9 +17,12 @@ def seconds(run, text):
     return time.process_time() - began
 
 
-@pytest.mark.parametrize("name", ["secrets", "toxicity"])
+@pytest.mark.parametrize("name", ["secrets", "toxicity", "decontaminate"])
 def test_time_a_byte_stays_the_same(name):
-    if name == "secrets":
+    if name == "decontaminate":  # disjoint hits, one every 60 bytes
+        found = decontaminate.automaton([(1, "one two three"), (2, "four five")], 3)
+        unit, run = "here one two three and then é four five ends, with other words ", lambda t: decontaminate.offsets(t, decontaminate.scan(t, found)[1])
+    elif name == "secrets":
         unit, run = "é some words and xk29qz7vbn3m8wq0rt5y then more of them follow here ", lambda t: secrets.scan_batch(pa.array([t]))
     else:
         found = toxicity.matcher((("idiot", True, "insult", 1.0),))
@@ -27,6 +32,49 @@ def test_time_a_byte_stays_the_same(name):
     assert seconds(run, long) / len(long) < 5 * seconds(run, short) / len(short)
 
 
+def test_a_conversation_of_many_turns(spark):
+    n = 40_000  # a fold that appends, or reading each text from the start, takes minutes
+    role, text = lambda i: ("user", "assistant", "a%b")[i % 3], lambda i: f"<|im_end|> é😀 {i}" if i % 7 else ""
+    df = spark.createDataFrame([(None, i, role(i), text(i)) for i in range(n)], "conv_id long, turn long, role string, text string")
+    began = time.time()
+    got = {r["conv_id"]: r for r in chat.report(df).collect()}[None]
+    assert time.time() - began < 60
+    spoken = "".join(text(i) for i in range(n) if role(i) == "assistant")
+    assert (got["n_turns"], got["loss_chars"], got["loss_sha256"]) == (n, len(spoken), hashlib.sha256(spoken.encode()).hexdigest())
+    assert got["turns_sha256"] == hashlib.sha256("".join(f"{role(i)}\n{text(i)}\n" for i in range(n)).encode()).hexdigest()
+
+
+def test_ranges_across_blocks_and_running_sums(spark):
+    text = "".join(chr(97 + i % 26) if i % 5 else "😀" for i in range(5 * chat.BLOCK))
+    at = [(0, 0), (0, 1), (chat.BLOCK - 1, chat.BLOCK + 1), (chat.BLOCK, chat.BLOCK), (7, 3 * chat.BLOCK + 9), (2 * chat.BLOCK, 3 * chat.BLOCK), (5 * chat.BLOCK - 2, 5 * chat.BLOCK), (5 * chat.BLOCK, 5 * chat.BLOCK)]
+    df = spark.createDataFrame([(text, at, list(range(37))), ("", [], []), (None, None, None)], "text string, at array<struct<start:long,stop:long>>, v array<long>")
+    got = df.select(chat.masked(F.col("text"), F.col("at"), lambda t: F.concat(t, F.lit("."))), chat.running(F.col("v"))).collect()
+    assert got[0][0] == "".join(text[a:b] + "." for a, b in at) and got[0][1] == [i * (i + 1) // 2 for i in range(37)]
+    assert tuple(got[1]) == ("", []) and tuple(got[2]) == (None, None)
+
+
+def test_pieces_of_an_item_hold_its_windows():
+    rnd = random.Random(6)
+    for n in (0, 1, 9, 10, 11, 40, 200):
+        text = " ".join(rnd.choice(("a", "bb", "cccc", "dddddddd" * 4)) for _ in range(n))
+        for most in (0, 30, 90, 10_000):
+            own = list(decontaminate.pieces(text, 10, most))
+            assert {w for p in own for w in decontaminate.windows(p, 10)} == set(decontaminate.windows(text, 10))
+            assert all(len(p) <= most or len(p.split()) <= 10 for p in own)
+
+
+def test_a_benchmark_of_many_parts_hits_as_one_does(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    items = spark.createDataFrame([(i, " ".join(rnd.choices(words, k=rnd.choice((3, 30, 400))))) for i in range(12)], "item_id long, text string")
+    own = [r["text"].split() for r in items.collect()]
+    texts = [" ".join(rnd.choices(words, k=50) + (o := rnd.choice(own))[len(o) // 4 :] + rnd.choices(words, k=50)) for _ in range(40)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one, many = (sorted(map(repr, decontaminate.hits(table, items, max_item_bytes=n).select("doc_id", "n_words", "ranges", "spans", "items").collect())) for n in (1 << 20, 900))
+    assert one == many and len(one) == 40
+    assert decontaminate.clean(table, items, max_item_bytes=900).count() == decontaminate.clean(table, items).count()
+
+
 def test_random_spans_keep_clear_of_fixed_ones():
     rnd = random.Random(5)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
