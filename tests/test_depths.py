@@ -11,7 +11,7 @@ from chunkloom.operators.graphs import depths
 LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
 
 
-@pytest.mark.parametrize("name", ["anchor_depths"])
+@pytest.mark.parametrize("name", ["anchor_depths", "spanning_tree_parents"])
 def test_a_chain_longer_than_the_sql_goes(spark, tmp_path, name):
     rows = [(8 * tile, 8, 1, 1, 25.0, 1.0, 0.0, 0.05, "A", "F", datetime.datetime(2024, 1, 1)) for tile in range(30)]
     spark.createDataFrame(rows, LINE).write.parquet(f"{tmp_path}/lineitem.parquet")
