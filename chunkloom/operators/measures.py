@@ -8,37 +8,62 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions.scratch import cut
 
-def _within(asked: DataFrame, points: DataFrame, cell: int) -> DataFrame:
-    """(id, d2): squared distance from each asked point to the nearest other point of its source within `cell`, for those that have one.
+#: Places compared with a place, on average, in the cells that nearest_distance() starts from.
+CROWD = 4
+#: Asked places at most this many are sent to the tasks, so that few wide cells don't hold all places.
+FEW = 2000
 
-    Asked points meet only those in their own and the eight cells around.
+
+def _within(asked: DataFrame, places: DataFrame, cell: float, few: bool) -> DataFrame:
+    """(source, px, py, id, d2): squared distance from each asked place to the nearest place with another id of its source within `cell`, for those that have one.
+
+    Asked places meet only those in their own and the eight cells around. Tables that grow are shuffled, whatever
+    their files' size.
     """
-    place = [F.floor(F.col("px") / cell).alias("cx"), F.floor(F.col("py") / cell).alias("cy")]
+    at = [F.floor(F.col("px") / cell).alias("cx"), F.floor(F.col("py") / cell).alias("cy")]
     around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    at = asked.select("id", "source", "px", "py", *place, around.alias("s")).select("id", "source", "px", "py", (F.col("cx") + F.col("s.a")).alias("cx"), (F.col("cy") + F.col("s.b")).alias("cy"))
-    other = points.select(F.col("id").alias("o_id"), "source", F.col("px").alias("ox"), F.col("py").alias("oy"), *place)
+    near = asked.select("source", "px", "py", "id", *at, around.alias("s")).select("source", "px", "py", "id", (F.col("cx") + F.col("s.a")).alias("cx"), (F.col("cy") + F.col("s.b")).alias("cy"))
+    near = F.broadcast(near) if few else near.hint("merge")
+    other = places.select("source", F.col("px").alias("ox"), F.col("py").alias("oy"), "low", "high", *at)
     d2 = (F.col("px") - F.col("ox")) * (F.col("px") - F.col("ox")) + (F.col("py") - F.col("oy")) * (F.col("py") - F.col("oy"))
-    return at.join(other, ["source", "cx", "cy"]).where((F.col("id") != F.col("o_id")) & (d2 <= cell * cell)).groupBy("id").agg(F.min(d2).alias("d2"))
+    met = other.join(near, ["source", "cx", "cy"]).where((d2 <= cell * cell) & ((F.col("low") != F.col("id")) | (F.col("high") != F.col("id"))))
+    return met.groupBy("source", "px", "py", "id").agg(F.min(d2).alias("d2"))
 
 
 def nearest_distance(points: DataFrame, cell: int, whole: bool = False) -> DataFrame:
-    """(id, d2): squared distance to the nearest other point of the same source within `cell`, null beyond it.
+    """(id, d2): squared distance to the nearest point of the same source with another id within `cell`, null beyond it.
+
+    With `whole`, cells grow for the points still without an answer, until all have one or a cell spans all points;
+    null is left for the only point of a source.
 
-    With `whole`, cells grow fourfold for the points still without an answer, until all have one or a cell spans all
-    points; null is left for the only point of a source.
+    Points at one place count once, and are 0 apart. Cells start so small that a place meets few others, and double for
+    the places without an answer. These have no other place within half a cell, so few of them fit into a cell, and
+    each round's work stays in proportion to the places, however dense they are.
     """
-    if not whole:
-        return points.select("id").join(_within(points, points, cell), "id", "left")
-    points = cut(points.select("id", "source", "px", "py"))
-    ends = points.agg(*[(F.max(c) - F.min(c)).alias(c) for c in ("px", "py")]).first()
-    asked, found = points, None
+    points = points.select("id", "source", "px", "py")
+    finite = [F.abs(F.col(c).cast("double")) < float("inf") for c in ("px", "py")]  # not so for nulls, and for NaN
+    places = points.where(finite[0] & finite[1] & F.col("source").isNotNull()).groupBy("source", "px", "py").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    places = cut(places)
+    ends = places.agg(*[(F.max(c) - F.min(c)).alias(c) for c in ("px", "py")], F.count("*").alias("n")).first()
+    span, width = max(ends["px"] or 0, ends["py"] or 0), float(cell)
+    while width > 2.0**-20 * cell:
+        held = places.groupBy("source", F.floor(F.col("px") / width), F.floor(F.col("py") / width)).agg(F.count("*").alias("n"))
+        if (held.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0) <= CROWD * ends["n"]:
+            break
+        width /= 2
+    key = ["source", "px", "py"]
+    found = places.where("low != high").select(*key, ((F.col("px") - F.col("px")) * (F.col("py") - F.col("py"))).alias("d2"))
+    asked, few = places.where("low = high").select(*key, F.col("low").alias("id")), False
     while True:
-        got = cut(_within(asked, points, cell))
-        found = got if found is None else found.unionByName(got)
-        asked = cut(asked.join(got.select("id"), "id", "left_anti"))
-        if cell > 2 * max(ends["px"] or 0, ends["py"] or 0) or asked.isEmpty():
-            return points.select("id").join(found, "id", "left")
-        cell *= 4
+        got = cut(_within(asked, places, width, few))
+        found = found.unionByName(got.drop("id"))
+        asked = cut(asked.join(got.select(*key).hint("merge"), key, "left_anti"))
+        left = asked.count()
+        if not left or width >= (2 * span if whole else cell):
+            break
+        width, few = width * 2, left <= FEW
+    least = points.join(found.hint("merge"), key).groupBy("id").agg(F.min("d2").alias("d2"))
+    return points.select("id").join(least.hint("merge"), "id", "left")
 
 
 def pooled(sums: DataFrame, near: DataFrame) -> DataFrame:
