@@ -125,7 +125,7 @@ def bead_flags(beads: DataFrame, margin: int, size: int, bright: int, apart: int
     """(id, inside, unsaturated, isolated, good)."""
     near = nearest_distance(beads, cell)
     inside = (F.col("px") >= margin) & (F.col("px") < size - margin)
-    marked = beads.join(near, "id").select("id", inside.alias("inside"), (F.col("peak") < bright).alias("unsaturated"), F.coalesce(F.col("d2") > apart * apart, F.lit(True)).alias("isolated"))
+    marked = beads.join(near.hint("merge"), "id").select("id", inside.alias("inside"), (F.col("peak") < bright).alias("unsaturated"), F.coalesce(F.col("d2") > apart * apart, F.lit(True)).alias("isolated"))
     return marked.withColumn("good", F.col("inside") & F.col("unsaturated") & F.col("isolated"))
 
 

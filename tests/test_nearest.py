@@ -24,7 +24,7 @@ def test_dense_sparse_and_repeated_points(spark, whole):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("name", ["nearest_point_distance"])
+@pytest.mark.parametrize("name", ["nearest_point_distance", "bead_quality_flags"])
 def test_no_growing_table_is_broadcast(spark, name):
     from chunkloom.jobs.registry import QUERIES
 
