@@ -17,9 +17,12 @@ def box_pairs(boxes: DataFrame, width: int, height: int) -> DataFrame:
     """(a, b, overlap_x, overlap_y): pairs of boxes with positive overlap in both axes, a < b.
 
     Boxes are dealt to the grid cells they meet, so only boxes with a common cell are compared; a pair counts in the
-    cell that holds the corner of its intersection, so that it occurs once.
+    cell that holds the corner of its intersection, so that it occurs once. Cells are dealt to as many tasks as a
+    shuffle has, as there are far more pairs than boxes: small files neither bring the boxes into few tasks, nor whole
+    to all of them.
     """
-    dealt = boxes.withColumn("cx", F.explode(cells(F.col("lo"), F.col("hi"), width))).withColumn("cy", F.explode(cells(F.col("y_lo"), F.col("y_hi"), height)))
+    tasks = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = boxes.withColumn("cx", F.explode(cells(F.col("lo"), F.col("hi"), width))).withColumn("cy", F.explode(cells(F.col("y_lo"), F.col("y_hi"), height))).repartition(tasks, "cx", "cy").hint("merge")
     other = dealt.select("cx", "cy", *[F.col(c).alias(f"o_{c}") for c in boxes.columns])
     x0, x1 = F.greatest("lo", "o_lo"), F.least("hi", "o_hi")
     y0, y1 = F.greatest("y_lo", "o_y_lo"), F.least("y_hi", "o_y_hi")
