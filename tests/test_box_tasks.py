@@ -5,7 +5,7 @@ import pytest
 from chunkloom.jobs.registry import QUERIES
 
 
-@pytest.mark.parametrize("name", ["cross_view_pairs"])
+@pytest.mark.parametrize("name", ["cross_view_pairs", "box_overlap_pairs"])
 def test_cells_are_dealt_to_tasks(spark, name):
     found = QUERIES[name](spark, "/root/testdata/sf0.001")
     assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
