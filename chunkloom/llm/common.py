@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chunkloom.functions.scratch import cut
-from chunkloom.operators.joins import SHARES, hot_left_join
+from chunkloom.operators.joins import SHARES, hot_left_join, shuffled
 
-__all__ = ["MAX_BATCH_BYTES", "MAX_BATCH_ROWS", "SHARES", "bounded_batches", "hot_left_join", "materialize", "table"]
+__all__ = ["MAX_BATCH_BYTES", "MAX_BATCH_ROWS", "SHARES", "bounded_batches", "hot_left_join", "materialize", "shuffled", "table"]
 
 MAX_BATCH_ROWS = 1000
 MAX_BATCH_BYTES = 8 << 20

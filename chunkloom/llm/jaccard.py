@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chunkloom.llm import kernels as K
-from chunkloom.llm.common import bounded_batches, hot_left_join, materialize
+from chunkloom.llm.common import bounded_batches, hot_left_join, materialize, shuffled
 from chunkloom.llm.components import components
 
 SIZE = 4
@@ -245,10 +245,10 @@ def links(documents: DataFrame, classes: DataFrame, least: int = LEAST, of: int
 
     def verified(units: DataFrame, nodes: DataFrame) -> DataFrame:
         """Links within the units (node, bin, one, two); nodes: their distinct nodes."""
-        wanted = nodes.join(classes.withColumnRenamed("cls", "node"), "node").select("node", F.col("doc_id").alias("_id"), F.col("at").alias("_at"))
-        texts = wanted.join(documents.select("doc_id", "text"), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_at") == F.xxhash64("text")))
+        wanted = shuffled(nodes, total).join(classes.withColumnRenamed("cls", "node"), "node").select("node", F.col("doc_id").alias("_id"), F.col("at").alias("_at"))
+        texts = shuffled(wanted, total).join(documents.select("doc_id", "text"), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_at") == F.xxhash64("text")))
         held = texts.select("node", "text").mapInArrow(tokens, "node long, tokens binary").dropDuplicates(["node"])
-        return units.join(held, "node").groupBy("bin", "one", "two").applyInArrow(verify, "a long, b long")
+        return shuffled(units, total).join(held, "node").groupBy("bin", "one", "two").applyInArrow(verify, "a long, b long")
 
     blocks = F.ceil(F.col("members") / block).cast("int")
     part = F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int")
@@ -269,12 +269,13 @@ def unjoined(large: DataFrame, found: DataFrame, block: int) -> DataFrame:
     large: (node, root, members). A class in its cluster's largest component lies in a block `number` from 0 to
     whole - 1, any other in one from -1 to -strays.
     """
-    joined = components(found.join(large.select(F.col("node").alias("a")), "a", "left_semi"), "joined")
-    named = large.join(joined.withColumnRenamed("root", "component"), "node", "left").select("node", "root", F.coalesce("component", "node").alias("component"))
+    total = large.count()
+    joined = components(found.join(shuffled(large.select(F.col("node").alias("a")), total), "a", "left_semi"), "joined")
+    named = large.join(shuffled(joined.withColumnRenamed("root", "component"), total), "node", "left").select("node", "root", F.coalesce("component", "node").alias("component"))
     counts = named.groupBy("root", "component").agg(F.count("*").alias("n"))
     most = counts.groupBy("root").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.max("n").alias("inside"), F.sum("n").alias("members"))
     split = most.where(F.col("inside") < F.col("members")).withColumn("n", F.col("members"))
-    dealt = hot_left_join(named, split, "root", "node", large.count()).where(F.col("most").isNotNull())
+    dealt = hot_left_join(named, split, "root", "node", total).where(F.col("most").isNotNull())
     strays = F.ceil((F.col("members") - F.col("inside")) / block).cast("int")
     whole = F.ceil(F.col("inside") / block).cast("int")
     stray = F.col("component") != F.col("most")
@@ -298,7 +299,7 @@ def grouped(documents: DataFrame, least: int, of: int, size: int) -> tuple[DataF
     first = F.min(F.struct(F.col("doc_id").isNull().alias("later"), "doc_id", "at", "n")).alias("first")
     classes = each.groupBy("cls").agg(first, F.sum("n").alias("rows")).select("cls", "rows", "first.*")
     found = materialize(links(documents, classes.select("cls", "doc_id", "at"), least, of, size), "links")
-    roots = components(found)  # (node, root), only of linked classes
+    roots = shuffled(components(found), own.count())  # (node, root), only of linked classes
     return own, materialize(classes.join(roots, classes["cls"] == roots["node"], "left").select(*classes.columns, F.coalesce("root", "cls").alias("root")), "grouped")
 
 
@@ -319,6 +320,7 @@ def representatives(documents: DataFrame, least: int = LEAST, of: int = OF, size
     _, classes = grouped(documents, least, of, size)
     best = classes.groupBy("root").agg(F.min(F.struct("later", "doc_id", "cls", "at", "n")).alias("best"))
     best = materialize(best.select(F.col("best.doc_id").alias("_id"), F.col("best.at").alias("_at"), F.col("best.n").alias("_n")), "best")
+    best = shuffled(best, best.count())
     # Documents travel as one column, so that no name of theirs meets one from here.
     held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"))
     words = F.length(F.translate(F.coalesce("own.text", F.lit("")), " \t\n\v\f\r", "")) > 0

@@ -7,6 +7,17 @@ from pyspark.sql import functions as F
 
 #: A key is hot when it holds more than one in this many rows, so there are fewer hot keys than this.
 SHARES = 1000
+#: Tables of more rows are not broadcast, however small their files are.
+MANY = 100_000
+
+
+def shuffled(rows: DataFrame, total: int) -> DataFrame:
+    """rows, to be joined by a shuffle where they are more than MANY; total: their number, or one not below it.
+
+    Spark compares the bytes of files with its limit for broadcasts, and a table in a driver's memory takes many times
+    what its compressed columns do.
+    """
+    return rows.hint("merge") if total > MANY else rows
 
 
 def hot_left_join(rows: DataFrame, keyed: DataFrame, key: str, by: str, total: int) -> DataFrame:
@@ -22,5 +33,5 @@ def hot_left_join(rows: DataFrame, keyed: DataFrame, key: str, by: str, total: i
     spread = F.when(F.col("_hot") | F.col(key).isNull(), 1 + F.pmod(F.xxhash64(by), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))
     # Always 0, but no constant: the optimizer would fold one into a filter, and deal the rows by the key alone.
     zero = F.least(F.col("n"), F.lit(0)).cast("long")
-    found = marked.withColumn("_spread", spread).join(keyed.withColumn("_spread", zero).drop("n"), [key, "_spread"], "left")
+    found = marked.withColumn("_spread", spread).join(shuffled(keyed.withColumn("_spread", zero).drop("n"), total), [key, "_spread"], "left")
     return found.select(*rows.columns, *[F.when(F.col("_hot"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in values])
