@@ -1,10 +1,11 @@
 """Nearest triangles of a mesh.
 
 Triangles lie in grid cells by their centre, and cells in coarser ones, FACTOR of them along an axis, up to a single
-one; each cell has the box of all that it holds and one vertex of it. Points descend from the single cell: a child
-stays a candidate while its box is no farther than the nearest vertex known so far, so few cells a point are left at
-each level, whether the point is near or far, and triangles are compared only within those of the finest level. No
-triangle is copied. Levels of at most SMALL cells are broadcast; beyond, cells are joined.
+one; each cell has the outermost vertex of all that it holds for each side of its box. Points descend from the single
+cell: a child stays a candidate while its box is no farther than the nearest vertex known so far. As a vertex lies on
+the very side of a box that faces the point, few cells a point are left at each level, whether the point is near or
+far, and triangles are compared only within those of the finest level. No triangle is copied. Levels of at most SMALL
+cells are broadcast; beyond, cells are joined.
 """
 
 from __future__ import annotations
@@ -74,24 +75,28 @@ def closest_triangles(points: DataFrame, triangles: DataFrame, cell: float) -> D
     """
     names = [f"{c}{k}" for c in CORNERS for k in AXES]
     usable = lambda columns: F.forall(F.array(*[F.col(c).cast("double") for c in columns]), lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    least = [F.least(*[F.col(f"{c}{k}") for c in CORNERS]).alias(f"lo{k}") for k in AXES]
-    most = [F.greatest(*[F.col(f"{c}{k}") for c in CORNERS]).alias(f"hi{k}") for k in AXES]
     shapes = triangles.where(usable(names)).groupBy(*[F.col(n).cast("double").alias(n) for n in names]).agg(F.min("face").alias("face"))
-    shapes = cut(shapes.select("face", *names, *least, *most))
-    start = shapes.agg(*[F.min(f"lo{k}").alias(k) for k in AXES]).first()
-    if start["x"] is None:
+    least = {k: F.least(*[F.col(f"{c}{k}") for c in CORNERS]) for k in AXES}
+    most = {k: F.greatest(*[F.col(f"{c}{k}") for c in CORNERS]) for k in AXES}
+    grid = [f"g{k}" for k in AXES]
+    found = cut(shapes.select("face", *names, *[F.floor((least[k] + most[k]) / 2 / cell).alias(f"g{k}") for k in AXES]))
+    # The vertices that lie farthest out along each axis: their own coordinates are the sides of the box.
+    corner = {k: [F.struct(*[F.col(f"{c}{e}").alias(e) for e in (k, *(e for e in AXES if e != k))]) for c in CORNERS] for k in AXES}
+    outer = [F.min(F.least(*corner[k])).alias(f"lo{k}") for k in AXES] + [F.max(F.greatest(*corner[k])).alias(f"hi{k}") for k in AXES]
+    level = cut(found.groupBy(*grid).agg(*outer))
+    start = level.agg(*[F.min(g).alias(g) for g in grid]).first()
+    if start[grid[0]] is None:
         none = "id, 0L as face, 0D as d2, '' as feature, 0D as b0, 0D as b1, 0D as b2"
         return points.selectExpr(*none.split(", ")).limit(0)
-    centre = [F.floor(((F.col(f"lo{k}") + F.col(f"hi{k}")) / 2 - start[k]) / cell).alias(f"g{k}") for k in AXES]
-    leaves = cut(shapes.select("*", *centre))
-    grid = [f"g{k}" for k in AXES]
-    box = [F.min(f"lo{k}").alias(f"lo{k}") for k in AXES] + [F.max(f"hi{k}").alias(f"hi{k}") for k in AXES]
-    level = cut(leaves.groupBy(*grid).agg(*box, F.min(F.struct("ax", "ay", "az")).alias("near")))
+    # From 0 on, so that the coarser cells come down to a single one.
+    leaves, level = (table.withColumns({g: F.col(g) - start[g] for g in grid}) for table in (found, level))
+    ends = [f"{e}{k}" for e in ("lo", "hi") for k in AXES]
+    outer = [F.min(f"lo{k}").alias(f"lo{k}") for k in AXES] + [F.max(f"hi{k}").alias(f"hi{k}") for k in AXES]
     levels = []
     while True:
         parents = [F.floor(F.col(g) / FACTOR).alias(f"up{g}") for g in grid]
-        held = F.struct(*grid, *[f"{e}{k}" for e in ("lo", "hi") for k in AXES], "near")
-        up = level.select("*", *parents).groupBy(*[f"up{g}" for g in grid]).agg(*box, F.min("near").alias("near"), F.collect_list(held).alias("children"))  # at most FACTOR**3
+        held = F.struct(*grid, *ends)
+        up = level.select("*", *parents).groupBy(*[f"up{g}" for g in grid]).agg(*outer, F.collect_list(held).alias("children"))  # at most FACTOR**3
         level = cut(up.withColumnsRenamed({f"up{g}": g for g in grid}))
         size = level.count()
         levels.append((size, level.select(*grid, "children")))
@@ -106,20 +111,24 @@ def closest_triangles(points: DataFrame, triangles: DataFrame, cell: float) -> D
         met = front.join(F.broadcast(cells) if size <= SMALL else cells, grid).drop(*grid)
 
         def reach(child: Column) -> Column:
-            return sum(((child["near"][f"a{k}"] - F.col(f"p{k}")) ** 2 for k in AXES), F.lit(0.0))
+            off = [[child[e][k] - F.col(f"p{k}") for k in AXES] for e in ends]
+            return F.least(*[_dot(o, o) for o in off])
 
         def apart(child: Column) -> Column:
-            sides = [F.greatest(child[f"lo{k}"] - F.col(f"p{k}"), F.col(f"p{k}") - child[f"hi{k}"], F.lit(0.0)) for k in AXES]
+            sides = [F.greatest(child[f"lo{k}"][k] - F.col(f"p{k}"), F.col(f"p{k}") - child[f"hi{k}"][k], F.lit(0.0)) for k in AXES]
             return sum((s * s for s in sides), F.lit(0.0))
 
         # A little room for the rounding of distances.
         bound = F.least("best", F.array_min(F.transform("children", reach)) * (1 + 1e-9))
-        met = met.withColumn("best", bound).withColumn("best", F.min("best").over(W.partitionBy("n")))
-        left = F.filter(F.transform("children", lambda c: F.struct(*[c[g].alias(g) for g in grid], apart(c).alias("d"))), lambda c: c["d"] <= F.col("best"))
-        front = met.select("id", *[f"p{k}" for k in AXES], "n", "best", F.inline(left)).drop("d")
+        near = lambda c: c["d"] <= F.col("best")
+        left = F.filter(F.transform("children", lambda c: F.struct(*[c[g].alias(g) for g in grid], apart(c).alias("d"))), near)
+        # What a cell's own vertices rule out goes before the rows of a point meet, and with it the cells' boxes.
+        met = met.withColumn("best", bound).select("id", *[f"p{k}" for k in AXES], "n", "best", left.alias("left"))
+        met = met.withColumn("best", F.min("best").over(W.partitionBy("n")))
+        front = met.select("id", *[f"p{k}" for k in AXES], "n", "best", F.inline(F.filter("left", near))).drop("d")
         if size > SMALL:
             front = cut(front)  # few joins in a plan
-    sides = [F.greatest(F.col(f"lo{k}") - F.col(f"p{k}"), F.col(f"p{k}") - F.col(f"hi{k}"), F.lit(0.0)) for k in AXES]
+    sides = [F.greatest(least[k] - F.col(f"p{k}"), F.col(f"p{k}") - most[k], F.lit(0.0)) for k in AXES]
     near = front.join(leaves, grid).where(sum((s * s for s in sides), F.lit(0.0)) <= F.col("best"))
     place = nearest_place()
     found = near.select("n", "id", "face", place.alias("place")).select("n", "id", F.struct("place.d2", "face", "place.feature", "place.b0", "place.b1", "place.b2").alias("place"))
