@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.functions.scratch import cut
+from chunkloom.operators.geodesics import geodesics  # noqa: F401
 
 
 def _line_sums(points: DataFrame, weight: Column) -> DataFrame:
@@ -160,20 +161,3 @@ def smoothed(points: DataFrame, sigma: int) -> DataFrame:
     weight = F.exp(-d * d / (2.0 * sigma * sigma)) * F.greatest(F.col("trust").cast("double"), F.lit(0.05))
     met = points.select("track", "tile", "at", cell.alias("cell")).join(near, ["track", "cell"]).where(F.abs(d) <= width)
     return met.groupBy("track", "tile", "at").agg((F.sum(weight * F.col("value")) / F.sum(weight)).alias("dz"))
-
-
-def geodesics(links: DataFrame, sources: DataFrame, radius: int) -> DataFrame:
-    """(source, node, distance): nodes that links (a, b, length) reach from each source within the radius.
-
-    Rounds relax only the nodes whose distance fell in the round before; lengths have to be positive.
-    """
-    near = links.where(F.col("a") != F.col("b"))
-    both = cut(near.select("a", "b", "length").union(near.select("b", "a", "length")).groupBy("a", "b").agg(F.min("length").alias("length")))
-    known = front = cut(sources.select(F.col("node").alias("source"), "node").distinct().withColumn("distance", F.lit(0).cast("long")))
-    while True:
-        ahead = front.join(both, F.col("node") == F.col("a")).select("source", F.col("b").alias("node"), (F.col("distance") + F.col("length")).alias("distance")).where(F.col("distance") <= radius)
-        least = ahead.groupBy("source", "node").agg(F.min("distance").alias("distance"))
-        front = cut(least.join(known.withColumnRenamed("distance", "old"), ["source", "node"], "left").where(F.col("old").isNull() | (F.col("distance") < F.col("old"))).drop("old"))
-        if front.isEmpty():
-            return known
-        known = cut(known.unionByName(front).groupBy("source", "node").agg(F.min("distance").alias("distance")))
