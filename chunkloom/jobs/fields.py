@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.functions.scratch import cut
 from chunkloom.jobs.base import Jobs
 from chunkloom.operators import fields as X
 from chunkloom.sources import adapters as A
@@ -214,6 +215,6 @@ select p.key, p.id, {values} from points p join marked using (key, id) join fiel
 def predicted_displacements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the linear field of a window's other points says for the points that depart from it."""
     names = [f"d{a}" for a in X.AXES]
-    marked = X.displacement_outliers(displaced(spark, sf_dir), SCALE, SPREAD, LEAST, MOST, PLANE_ROUNDS)
+    marked = cut(X.displacement_outliers(displaced(spark, sf_dir), SCALE, SPREAD, LEAST, MOST, PLANE_ROUNDS).drop("score", "threshold"), "marked")
     fields = X.linear_fields(marked.where("not outlier"), names)
     return X.predicted(marked.where("outlier").select("key", "id", *X.AXES), fields, names).select("key", "id", *[F.round(n, 6).alias(n) for n in names])

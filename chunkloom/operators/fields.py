@@ -7,15 +7,21 @@ before it gets the coefficient 0; a single system is solved at the driver, from
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from chunkloom.functions.scratch import cut
 from chunkloom.operators.ranges import numbered, quantiles
 
 #: A column is dependent where elimination leaves less than this share of its sum of squares.
 RANK = 1e-9
+#: Points of a window that are fitted in one task.
+TOGETHER = 100_000
 
 
 def products(columns: list[str], targets: list[str], weight: str = "1.0D") -> dict[str, str]:
@@ -59,16 +65,70 @@ _BASIS = ["1.0D", "u1", "u2", "u3"]
 _FIT = " + ".join(f"x{i}_0 * {b}" for i, b in enumerate(_BASIS))
 
 
-def displacement_outliers(points: DataFrame, scale: float, spread: float, least: float, most: float | None = None, rounds: int = 25) -> DataFrame:
+def _planes(basis: np.ndarray, moved: np.ndarray, scale: float, rounds: int) -> np.ndarray:
+    """(4, 3): coefficients for each component, by the sums and the elimination of products() and solved()."""
+    k = basis.shape[1]
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    both = np.stack([basis[:, i] * basis[:, j] for i, j in upper], 1)
+    found = np.zeros((k, moved.shape[1]))
+    found[0] = np.median(moved, 0)
+    for _ in range(rounds):
+        w = 1 / (1 + ((moved - basis @ found) / scale) ** 2)
+        sums, b = w.T @ both, (w * moved).T @ basis
+        a = np.zeros((len(sums), k, k))
+        for n, (i, j) in enumerate(upper):
+            a[:, i, j] = a[:, j, i] = sums[:, n]
+        least = RANK * np.diagonal(a, axis1=1, axis2=2).copy()
+        for p in range(k):
+            pivot = a[:, p, p]
+            factor = np.where((pivot > least[:, p])[:, None], a[:, :, p] / np.where(pivot > least[:, p], pivot, 1.0)[:, None], 0.0)
+            factor[:, p] = 0
+            a, b = a - factor[:, :, None] * a[:, p, None, :], b - factor * b[:, p, None]
+        own = np.diagonal(a, axis1=1, axis2=2)
+        found = np.where(own > least, b / np.where(own > least, own, 1.0), 0.0).T
+    return found
+
+
+def _marked(scale: float, spread: float, least: float, most: float | None, rounds: int) -> Callable[[pa.Table], pa.Table]:
+    def mark(held: pa.Table) -> pa.Table:
+        at, moved = (np.stack([held[c].to_numpy().astype(np.float64) for c in names], 1) for names in (AXES, [f"d{a}" for a in AXES]))
+        varies = np.ptp(at, 0) > 16 * 2.0**-52 * np.maximum(np.abs(at).max(0), 1.0)
+        unit = np.where(varies, (at - at.mean(0)) / np.where(varies, at.std(0), 1.0), 0.0)
+        basis = np.concatenate([np.ones((len(at), 1)), unit], 1)
+        score = np.sqrt(((moved - basis @ _planes(basis, moved, scale, rounds)) ** 2).sum(1))
+        middle = np.median(score)
+        limit = max(least, middle + spread * 1.4826 * np.median(np.abs(score - middle)))
+        limit = limit if most is None else min(limit, most)
+        for name, values in (("score", score), ("threshold", np.full(len(score), limit)), ("outlier", score > limit)):
+            held = held.append_column(name, pa.array(values))
+        return held
+
+    return mark
+
+
+def displacement_outliers(points: DataFrame, scale: float, spread: float, least: float, most: float | None = None, rounds: int = 25, together: int = TOGETHER) -> DataFrame:
     """points (key, id, z, y, x, dz, dy, dx) with `score`, the distance from their window's plane of displacements, its `threshold` and `outlier`.
 
     Planes are fitted by reweighted rounds with weights 1 / (1 + (r / scale)^2) for each component, from the median
     displacement on. The threshold is the median score plus `spread` deviations (1.4826 times the median absolute
     one), at least `least` and at most `most`. Axes that don't vary or depend on others add nothing to a plane. Ids
     are unique within a key; rows with nulls take no part.
+
+    A window of at most `together` points takes all rounds in one task, so its points are shuffled once. Larger ones
+    take a grouped sum a round, and may hold any share of the points.
     """
+    usable = cut(points.dropna(subset=["key", "id", *AXES, *[f"d{a}" for a in AXES]]), "points")
+    columns = ["key", "id", *[c for c in usable.columns if c not in ("key", "id")]]
+    large = cut(usable.groupBy("key").count().where(F.col("count") > together).select("key"))
+    some = not large.isEmpty()
+    small = usable.join(large, "key", "left_anti") if some else usable
+    schema = StructType([*(usable.schema[c] for c in columns), StructField("score", DoubleType()), StructField("threshold", DoubleType()), StructField("outlier", BooleanType())])
+    found = small.select(*columns).groupBy("key").applyInArrow(_marked(scale, spread, float(least), None if most is None else float(most), rounds), schema)
+    return found.unionByName(_outliers_by_rounds(usable.join(large, "key", "left_semi"), scale, spread, least, most, rounds)) if some else found
+
+
+def _outliers_by_rounds(usable: DataFrame, scale: float, spread: float, least: float, most: float | None, rounds: int) -> DataFrame:
     named = [f"d{a}" for a in AXES]
-    usable = points.dropna(subset=["key", "id", *AXES, *named])
     rows = cut(_normalised(usable).selectExpr("key", "id", "u1", "u2", "u3", "explode(array(" + ", ".join(f"struct('{a}' as part, cast({d} as double) as v)" for a, d in zip(AXES, named)) + ")) as c").selectExpr("key", "id", "u1", "u2", "u3", "c.part", "c.v"))
     at = rows.select(F.struct("key", "part").alias("at"), "v")
     middle = quantiles(at, "at", "v", (0.5,)).selectExpr("at.key", "at.part", "q0 as x0_0", *[f"0.0D as x{i}_0" for i in (1, 2, 3)])

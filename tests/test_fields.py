@@ -82,6 +82,19 @@ def test_displacement_outliers_against_a_dense_version(spark):
     assert fields.displacement_outliers(table.limit(0), 1.0, 6.0, 0.5).count() == 0
 
 
+def test_windows_of_few_and_of_many_points_give_the_same_scores_and_few_are_shuffled_once(spark, capsys):
+    rng = np.random.default_rng(17)
+    sets = {"a": window(rng), "flat": window(rng, 60, True), "one": ([[1.0, 2.0, 3.0]], [[1.0, 0.0, 2.0]])}
+    table = spark.createDataFrame([(k, i, *map(float, p), *map(float, d)) for k, (points, moved) in sets.items() for i, (p, d) in enumerate(zip(points, moved))], POINTS)
+    found = [fields.displacement_outliers(table, 1.0, 6.0, 0.5, 20.0, 8, together) for together in (1000, 70, 0)]
+    wanted, *others = [sorted(tuple(r) for r in f.select("key", "id", "outlier", "score", "threshold").collect()) for f in found]
+    for got in others:
+        assert [r[:3] for r in got] == [r[:3] for r in wanted] and np.allclose([r[3:] for r in got], [r[3:] for r in wanted], atol=1e-9)
+    capsys.readouterr()
+    found[0].explain()
+    assert capsys.readouterr().out.count("Exchange") == 1
+
+
 def test_linear_fields_drop_constant_and_dependent_axes(spark):
     rng = np.random.default_rng(8)
     points, moved = window(rng, 40, True)
