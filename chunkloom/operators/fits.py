@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions.scratch import cut
 from chunkloom.operators.geodesics import geodesics  # noqa: F401
+from chunkloom.operators.sweeps import swept
 
 
 def _line_sums(points: DataFrame, weight: Column) -> DataFrame:
@@ -46,10 +47,16 @@ def tile_shifts(edges: DataFrame, anchor: int, huber: float, most: float, rounds
 
     Damped sweeps: a tile moves half the way to the weighted mean of what its edges ask for. A residual beyond
     huber divides an edge's weight by |residual| / huber; positions stay within +-most, and the anchor stays at 0.
-    Sweeps end early once no tile moves by more than the tolerance.
+    Sweeps end early once no tile moves by more than the tolerance. They go over blocks of tiles; where a tile or a
+    block has too many links for one row, over the rows of links.
     """
+    kept = cut(edges.where((F.col("fixed") != F.col("moving")) & (F.col("weight") > 0) & F.col("shift").isNotNull()).select("axis", "fixed", "moving", "shift", "weight"), "links")
+    found = swept(kept, anchor, huber, most, rounds, tolerance)
+    return _shifts_by_rows(kept, anchor, huber, most, rounds, tolerance) if found is None else found
+
+
+def _shifts_by_rows(kept: DataFrame, anchor: int, huber: float, most: float, rounds: int, tolerance: float) -> DataFrame:
     shift = F.col("shift").cast("double")
-    kept = edges.where((F.col("fixed") != F.col("moving")) & (F.col("weight") > 0))
     ends = cut(
         kept.select("axis", F.col("moving").alias("tile"), F.col("fixed").alias("other"), shift.alias("ask"), "weight").unionByName(
             kept.select("axis", F.col("fixed").alias("tile"), F.col("moving").alias("other"), (-shift).alias("ask"), "weight")
