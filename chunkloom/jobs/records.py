@@ -188,9 +188,10 @@ def composed_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def xml_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attributes of XML metadata."""
     text = F.concat(F.lit('<Image ID="'), F.col("id").cast("string"), F.lit('"><Pixels Unit="nm" SizeX="'), F.col("hi").cast("string"), F.lit('"/><Channel Name="ch'), F.col("source").cast("string"), F.lit('"/></Image>'))
-    rows = A.boxes(spark, sf_dir).select(text.alias("t"))
-    path = lambda p: F.xpath_string("t", F.lit(p))
-    return rows.select(path("/Image/@ID").cast("long").alias("id"), path("/Image/Pixels/@Unit").alias("unit"), path("/Image/Pixels/@SizeX").cast("double").alias("size"), path("/Image/Channel/@Name").alias("channel"))
+    # Parsing costs far more than reading a row, so rows are dealt to as many tasks as a shuffle has, and each is parsed once.
+    rows = A.boxes(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).select(text.alias("t"))
+    image = R.parsed_xml("t", "_ID long, Pixels struct<_Unit string, _SizeX double>, Channel struct<_Name string>")
+    return rows.select(image.alias("i")).select(F.col("i._ID").alias("id"), F.col("i.Pixels._Unit").alias("unit"), F.col("i.Pixels._SizeX").alias("size"), F.col("i.Channel._Name").alias("channel"))
 
 
 @JOBS.add("select 'img_' || id as stem, 'img_' || id || '.tif' as image, 'img_' || id || '_masks.tif' as label from boxes where id % 3 > 0", "boxes")

@@ -144,3 +144,8 @@ def last_of_each(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The last row of each key by `order`, a column that is unique within the key."""
     rest = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*")
+
+
+def parsed_xml(text: str, schema: str) -> Column:
+    """The document in a column as a struct, attributes under `_` and their name: one pass over it, whatever the number of fields. Malformed documents are an error."""
+    return F.from_xml(text, schema, {"mode": "FAILFAST"})
