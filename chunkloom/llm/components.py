@@ -1,5 +1,5 @@
 """Connected components of an edge table."""
 
-from chunkloom.operators.graphs import components
+from chunkloom.operators.graphs import star_components as components
 
 __all__ = ["components"]
