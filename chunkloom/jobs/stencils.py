@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.functions.scratch import cut
 from chunkloom.jobs.base import Jobs
 from chunkloom.operators import stencils as X
 from chunkloom.sources import adapters as A
@@ -66,9 +67,8 @@ select label, n, case when extra then (select max(label) from voxels) + row_numb
 )
 def relabelled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that fell into pieces get a label for each piece."""
-    voxels = A.voxels(spark, sf_dir)
-    named = X.relabelled(voxels, X.volume_shape(voxels))
-    return named.withColumnRenamed("label", "piece").join(voxels.select("z", "y", "x", "label"), ["z", "y", "x"]).groupBy("label", "piece").agg(F.count("*").alias("n"))
+    voxels = cut(A.voxels(spark, sf_dir).select("z", "y", "x", "label"), "voxels")
+    return X.piece_sizes(voxels, X.volume_shape(voxels))
 
 
 JOBS.sql["relabelled_pieces"] = JOBS.sql["relabelled_pieces"].replace("with voxels", "with recursive voxels", 1)

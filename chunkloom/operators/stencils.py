@@ -33,8 +33,8 @@ def moved(a: np.ndarray, offset: tuple[int, int, int], fill: int) -> np.ndarray:
     return out
 
 
-def by_blocks(voxels: DataFrame, shape: tuple[int, int, int], halo: int, kernel: Callable[[np.ndarray], np.ndarray], block: tuple[int, int, int] = BLOCK) -> DataFrame:
-    """(z, y, x, label): kernel's result for the blocks of voxels (z, y, x, label), labels over 0 only.
+def by_blocks(voxels: DataFrame, shape: tuple[int, int, int], halo: int, kernel: Callable[[np.ndarray], np.ndarray], block: tuple[int, int, int] = BLOCK, before: bool = False) -> DataFrame:
+    """(z, y, x, label): kernel's result for the blocks of voxels (z, y, x, label), labels over 0 only; with `before`, a column of what the label was.
 
     kernel gets a block with its halo, -1 outside the volume, and gives an array of that shape, of which the block's
     own part is kept. Blocks without a voxel in them or their halo have no result. Each place has at most one voxel,
@@ -62,9 +62,10 @@ def by_blocks(voxels: DataFrame, shape: tuple[int, int, int], halo: int, kernel:
         inner = tuple(slice(halo, halo + b) for b in block)
         found = kernel(a)[inner]
         place = np.nonzero(found > 0)
-        return pa.table([*[pa.array((p + f + halo).astype(np.int32)) for p, f in zip(place, first)], pa.array(found[place])], names=["z", "y", "x", "label"])
+        out = pa.table([*[pa.array((p + f + halo).astype(np.int32)) for p, f in zip(place, first)], pa.array(found[place])], names=["z", "y", "x", "label"])
+        return out.append_column("before", pa.array(a[inner][place])) if before else out
 
-    return rows.groupBy("kz", "ky", "kx").applyInArrow(solve, _SCHEMA)
+    return rows.groupBy("kz", "ky", "kx").applyInArrow(solve, _SCHEMA + (", before long" if before else ""))
 
 
 def volume_shape(voxels: DataFrame) -> tuple[int, int, int]:
@@ -140,23 +141,19 @@ def _roots(a: np.ndarray, index: np.ndarray) -> np.ndarray:
         root = least
 
 
-def relabelled(voxels: DataFrame, shape: tuple[int, int, int], block: tuple[int, int, int] = BLOCK) -> DataFrame:
-    """voxels (z, y, x, label) with a label for each piece of a label that hangs together through faces: its first piece in order of (z, y, x) keeps the label, others get numbers above the largest label.
-
-    Pieces are found within blocks first; only pairs of pieces that touch across blocks make a graph.
-    """
+def _pieces(voxels: DataFrame, shape: tuple[int, int, int], block: tuple[int, int, int]) -> tuple[DataFrame, DataFrame]:
+    """(z, y, x, label, node) of voxels, node being the first place of the piece within the block, and (node, named) of all nodes."""
     width = shape[1] * shape[2]
 
     def kernel(a: np.ndarray) -> np.ndarray:
         return _roots(a, np.arange(1, a.size + 1).reshape(a.shape))
 
-    local = by_blocks(voxels, shape, 0, kernel, block).withColumnRenamed("label", "piece")
-    named = [F.floor(F.col(a) / b).alias(f"k{a}") for a, b in zip("zyx", block)]
-    known = voxels.where("label > 0").select(*[F.col(a).cast("int").alias(a) for a in "zyx"], "label")
-    place = F.col("z").cast("long") * width + F.col("y") * shape[2] + F.col("x")
-    held = local.join(known, ["z", "y", "x"]).select("*", *named, place.alias("place"))
-    keys = ["kz", "ky", "kx", "piece"]
-    held = cut(held.join(held.groupBy(*keys).agg(F.min("place").alias("node")), keys).select("z", "y", "x", "label", "node"))
+    local = by_blocks(voxels, shape, 0, kernel, block, before=True)
+    # The least index within a block is the first of its places in order of (z, y, x), too.
+    at = F.col("label") - 1
+    steps = [F.floor(at / (block[1] * block[2])), F.floor(at / block[2]) % block[1], at % block[2]]
+    z, y, x = (F.floor(F.col(a) / b) * b + k for a, b, k in zip("zyx", block, steps))
+    held = cut(local.select("z", "y", "x", F.col("before").alias("label"), (z * width + y * shape[2] + x).cast("long").alias("node")))
     edges = None
     for offset, b, a in zip(FACES[::-1], block, "zyx"):
         rim = held.where((F.col(a) + 1) % b == 0).select(*[(F.col(c) + o).alias(c) for c, o in zip("zyx", offset)], "label", F.col("node").alias("a"))
@@ -170,5 +167,20 @@ def relabelled(voxels: DataFrame, shape: tuple[int, int, int], block: tuple[int,
     largest = voxels.agg(F.max("label")).first()[0] or 0
     order = extra.select(F.lit(0).alias("one"), F.struct("label", "root").alias("at"))
     order = numbered(order, "one", "at").select("at.label", "at.root", (F.col("number") + largest).alias("new"))
-    names = pieces.join(order, ["label", "root"], "left").select("node", F.coalesce("new", "label").alias("named"))
+    return held, pieces.join(order, ["label", "root"], "left").select("node", F.coalesce("new", "label").alias("named"))
+
+
+def relabelled(voxels: DataFrame, shape: tuple[int, int, int], block: tuple[int, int, int] = BLOCK) -> DataFrame:
+    """voxels (z, y, x, label) with a label for each piece of a label that hangs together through faces: its first piece in order of (z, y, x) keeps the label, others get numbers above the largest label.
+
+    Pieces are found within blocks first; only pairs of pieces that touch across blocks make a graph.
+    """
+    held, names = _pieces(voxels, shape, block)
     return held.join(names, "node").select("z", "y", "x", F.col("named").alias("label"))
+
+
+def piece_sizes(voxels: DataFrame, shape: tuple[int, int, int], block: tuple[int, int, int] = BLOCK) -> DataFrame:
+    """(label, piece, n): how many voxels of a label relabelled() gives each number; voxels are counted by block's piece before names are joined."""
+    held, names = _pieces(voxels, shape, block)
+    counts = held.groupBy("label", "node").agg(F.count("*").alias("n"))
+    return counts.join(names, "node").groupBy("label", F.col("named").alias("piece")).agg(F.sum("n").alias("n"))

@@ -96,6 +96,22 @@ def test_pieces_get_labels_of_their_own(spark):
     assert at > a.max() and (got == want).all()
 
 
+def test_piece_sizes_are_counted_before_names_are_joined(spark, capsys):
+    a = (np.random.default_rng(12).integers(0, 3, (7, 9, 11))).astype(np.int64)
+    named = dense(stencils.relabelled(frame(spark, a), a.shape, (3, 4, 5)), a.shape)
+    want = {}
+    for label, piece in zip(a[a > 0].tolist(), named[a > 0].tolist()):
+        want[label, piece] = want.get((label, piece), 0) + 1
+    found = stencils.piece_sizes(frame(spark, a), a.shape, (3, 4, 5))
+    assert {(r["label"], r["piece"]): r["n"] for r in found.collect()} == want and len(want) > 5
+    capsys.readouterr()
+    found.explain()
+    plan = capsys.readouterr().out
+    # No voxel's place is read again, so none meets another table.
+    assert "ReadSchema: struct<label:bigint,node:bigint>" in plan and "ReadSchema: struct<z" not in plan
+    assert stencils.piece_sizes(frame(spark, np.zeros((2, 2, 2), np.int64)), (0, 0, 0)).count() == 0
+
+
 def test_empty_volumes(spark):
     none = frame(spark, np.zeros((2, 2, 2), np.int64))
     assert stencils.smoothed_labels(none, (0, 0, 0)).count() == stencils.thin_parts(none, (0, 0, 0), 1).count() == stencils.relabelled(none, (0, 0, 0)).count() == 0
