@@ -42,3 +42,22 @@ def test_a_graph_of_few_parts_takes_no_rounds(spark, monkeypatch):
     edges = [(k, k + 1) for k in range(300)]
     assert set(found(graphs.components(spark.createDataFrame(edges, "a long, b long"))).values()) == {0}
     assert len(written) == 6
+
+
+def test_more_ranges_than_asked_for_leave_no_component_split(spark, monkeypatch):
+    frame = type(spark.range(0))
+    kept = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda self, many, *cols: kept(self, max(many, 7), *cols))
+    edges = [(k, k + 1) for k in range(300)]
+    assert set(found(graphs.components(spark.createDataFrame(edges, "a long, b long"))).values()) == {0}
+
+
+def test_links_of_texts_take_no_rounds_where_they_fit_a_part(spark, monkeypatch):
+    from chunkloom.llm.components import components
+
+    written = []
+    kept = graphs.cut
+    monkeypatch.setattr(graphs, "cut", lambda df, *name: written.append(name) or kept(df, *name))
+    edges = [(k, k + 1) for k in range(300)]
+    assert set(found(components(spark.createDataFrame(edges, "a long, b long"))).values()) == {0}
+    assert len(written) == 2
