@@ -78,6 +78,43 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> Packs:
     return [(n, key) for key, n in found.items()]
 
 
+def fitted(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
+    """How many packs best_fit() takes; packs with as much space left are one to it."""
+    packs: dict[int, int] = {}  # by space left
+    spaces: list[int] = []
+    taken = 0
+    for length in sorted(histogram, reverse=True):
+        left = histogram[length]
+        while left:
+            at = bisect_left(spaces, length)
+            if at < len(spaces):
+                space = spaces[at]
+                count = packs[space]
+            else:
+                at, space = -1, capacity
+                count = -(-left // (capacity // length))
+                taken += count
+            most = space // length
+            full = min(count, left // most)
+            part = left - full * most if full < count else 0
+            rest = count - full - (part > 0)
+            if at >= 0:
+                if rest:
+                    packs[space] = rest
+                else:
+                    del packs[space]
+                    del spaces[at]
+            for n, k in ((full, most), (part > 0, part)):
+                if n and (s := space - k * length):
+                    if s in packs:
+                        packs[s] += n
+                    else:
+                        packs[s] = int(n)
+                        insort(spaces, s)
+            left -= full * most + part
+    return taken
+
+
 def lower_bound(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
     """Sequences that are needed at least: the most, over thresholds k, of pieces too long to share with one of k or more, of those over half, and of the volume that those leave no room for."""
     items = sorted((k, n) for k, n in histogram.items() if n)
@@ -149,6 +186,8 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, waste: int,
     found: list[tuple[int, tuple[int, ...]]] = []
     seen: set[tuple[int, ...]] = set()
     for left, chosen in search():
+        if lengths and left >= lengths[0] and chosen.count(lengths[0]) < counts[lengths[0]]:
+            continue  # dominated: the shortest piece could take the place of waste
         if chosen in seen:
             continue
         seen.add(chosen)
@@ -170,10 +209,11 @@ def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = N
     size, floor = sum(n for n, _ in best), lower_bound(start, capacity)
     total = sum(k * n for k, n in start.items())
     seen: dict[int, int] = {}
-    # (pieces left, packs used, waste, packs chosen as a chain)
-    stack: list[tuple[dict[int, int], int, int, tuple | None]] = [(start, 0, 0, None)]
+    # (pieces before its last packs, those packs as a number and their lengths, packs used, waste, packs chosen as a chain)
+    stack: list[tuple[dict[int, int], int, dict[int, int], int, int, tuple | None]] = [(start, 0, {}, 0, 0, None)]
     while stack and nodes and size > floor:
-        counts, used, wasted, chosen = stack.pop()
+        before, t, uses, used, wasted, chosen = stack.pop()
+        counts = {k: n - t * uses.get(k, 0) for k, n in before.items() if n > t * uses.get(k, 0)} if t else before
         nodes -= 1
         if not counts or used + lower_bound(counts, capacity) >= size or (size - 1) * capacity - total < wasted:
             continue
@@ -182,9 +222,9 @@ def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = N
             continue
         seen[own] = used
         if chosen:
-            rest = best_fit(counts, capacity)
-            if used + sum(n for n, _ in rest) < size:
-                best, size = rest, used + sum(n for n, _ in rest)
+            rest = fitted(counts, capacity)
+            if used + rest < size:
+                best, size = best_fit(counts, capacity), used + rest
                 at = chosen
                 while at:
                     best.append(at[0])
@@ -199,7 +239,7 @@ def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = N
         allowed = (size - 1) * capacity - total - wasted
         if allowed < 0:
             continue
-        branches = []
+        branches, pieces = [], sum(counts.values())
         for waste, filling in fillings(sorted(left), left, capacity - longest, min(allowed, capacity - longest), width):
             pack = (longest, *filling)
             uses = {k: pack.count(k) for k in set(pack)}
@@ -207,14 +247,13 @@ def complete(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = N
             if waste:
                 times = min(times, allowed // waste)
             for t in sorted({1, times}, reverse=True):
-                after = {k: n - t * uses.get(k, 0) for k, n in counts.items() if n > t * uses.get(k, 0)}
-                if not after and used + t < size:
+                if t * len(pack) == pieces and used + t < size:
                     best, size = [(t, pack)], used + t
                     at = chosen
                     while at:
                         best.append(at[0])
                         at = at[1]
-                branches.append((after, used + t, wasted + t * waste, ((t, pack), chosen)))
+                branches.append((counts, t, uses, used + t, wasted + t * waste, ((t, pack), chosen)))
         stack += reversed(branches)
     merged: dict[tuple[int, ...], int] = {}
     for n, lengths in best:

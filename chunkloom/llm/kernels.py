@@ -35,9 +35,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
 def kinds(*classes: bytes, rest: int) -> np.ndarray:
     """The kind of each byte: 0 for the first class, 1 for the second and so on, else rest."""
     out = np.full(256, rest, np.uint8)
@@ -92,8 +89,16 @@ def spans(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple[np.nd
     return starts, ends
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; spans are in order. Memory beyond the result is that of one block."""
+def values_of(n: int) -> np.ndarray:
+    """What each of n units, bytes or characters, adds to a hash."""
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+_BYTE_VALUE = values_of(256)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE_VALUE) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, or of other units with values of their own; spans are in order. Memory beyond the result is that of one block."""
     out = np.zeros(len(starts), np.uint64)
     i = 0
     while i < len(starts):
@@ -102,13 +107,13 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         if j > i:
             block = data[first : ends[j - 1]]
             total = np.zeros(len(block) + 1, np.uint64)
-            np.cumsum(_BYTE_VALUE[block] * _POWERS[: len(block)], out=total[1:])
+            np.cumsum(values[block] * _POWERS[: len(block)], out=total[1:])
             out[i:j] = (total[ends[i:j] - first] - total[starts[i:j] - first]) * _INVERSES[starts[i:j] - first]
             i = j
             continue
         for at in range(first, int(ends[i]), CHUNK_BYTES):  # a word longer than a block
             block = data[at : min(at + CHUNK_BYTES, int(ends[i]))]
-            part = (_BYTE_VALUE[block] * _POWERS[: len(block)]).sum(dtype=np.uint64)
+            part = (values[block] * _POWERS[: len(block)]).sum(dtype=np.uint64)
             with np.errstate(over="ignore"):
                 out[i] += part * np.uint64(pow(int(_BASE), at - first, 1 << 64))
         i += 1

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from bisect import insort
 from collections.abc import Callable, Iterator
 
@@ -30,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chunkloom.llm import kernels as K
 from chunkloom.llm.common import bounded_batches, materialize
 
 CAPACITY = 2048
@@ -38,20 +38,21 @@ END_ID = 1
 PAD_ID = 0
 RANKED = 100_000
 SHARES = 1000
-#: Entries of each of a process's two caches, of words and of what lies between blanks.
-CACHE = 250_000
+#: Words of at most LONGEST characters that a process keeps, and places for them.
+KNOWN, PLACES, LONGEST = 500_000, 1 << 20, 64
 
 # The vocabulary's own rules for cutting text into words, for characters below U+0250.
 _BLANK = r"\t-\r \x85\xa0"
 _LETTERS = "a-zªµºß-öø-ɏ"
 _NUMBERS = "0-9²³¹¼½¾"
-_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANK}{_LETTERS}{_NUMBERS}]+")
-#: Blanks to str.split() that are none to the vocabulary.
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+#: Kinds of characters: 0 blanks, 1 letters, 2 numbers, each a word of its own, 3 the rest.
+_KIND = np.array([0 if re.match(f"[{_BLANK}]", c) else 1 if re.match(f"[{_LETTERS}]", c) else 2 if re.match(f"[{_NUMBERS}]", c) else 3 for c in map(chr, range(0x250))], np.uint8)
+_VALUES = K.values_of(0x250)
 #: Characters below U+0250 whose lower case is none of one character below U+0250.
 _FAR = "".join(chr(c) for c in range(0x250) if len(chr(c).lower()) > 1 or chr(c).lower() > "ɏ")
 #: Texts with such or other characters, or with these strings, go through the tokenizer whole.
-_WHOLE = re.compile(rf"[{_FAR}]|[^\x00-ɏ]|<\|startoftext\|>|<\|endoftext\|>")
+_OTHER = re.compile(rf"[{_FAR}ɐ-\U0010ffff]")
+_SPECIAL = re.compile(r"<\|(?:startoftext|endoftext)\|>")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -61,22 +62,39 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Known(dict):
-    """What `make` gives for a key; the first CACHE keys, which are the frequent ones, are kept."""
+def _cut(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of lower-case characters, within bounds.
 
-    def __init__(self, make: Callable[[str], bytes]) -> None:
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key: str) -> bytes:
-        found = self.make(key)
-        if len(self) < CACHE:
-            self[key] = found
-        return found
+    Runs of one kind, numbers apart. An apostrophe that is a run by itself takes the s, t, m, d, re, ve or ll after it.
+    """
+    kind = np.zeros(len(data) + 2, np.uint8)
+    kind[1:-1] = _KIND[data]
+    change = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    change[bounds] = True
+    starts, ends = np.flatnonzero(change & (kind[1:] != 0)), np.flatnonzero(change & (kind[:-1] != 0))
+    own = np.flatnonzero((data[starts] == ord("'")) & (ends - starts == 1))
+    edge = np.zeros(len(data) + 3, bool)
+    edge[bounds] = True
+    after = np.append(data, np.zeros(2, data.dtype))
+    at = ends[own]
+    one, two = after[at], after[at + 1]
+    single = np.isin(one, [ord(c) for c in "stmd"]) & ~edge[at]
+    double = ((one == ord("r")) & (two == ord("e")) | (one == ord("v")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))) & ~edge[at] & ~edge[at + 1]
+    more = single + 2 * double
+    own, more = own[more > 0], more[more > 0]
+    ends[own] += more
+    starts[own + 1] += more
+    left = starts < ends
+    return starts[left], ends[left]
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, with caches of words and of what lies between blanks."""
+    """Ids of texts as little-endian unsigned 32-bit bytes. Words are cut and looked up by array operations.
+
+    A process keeps the first KNOWN words, which are the frequent ones, by a 64-bit hash, and gives others to the
+    tokenizer's model once a slice of the texts. That a word of a corpus with 10^8 different ones shares its hash with
+    a known word happens with a chance of 3e-6.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -84,25 +102,98 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.words, self.chunks = Known(self._word), Known(self._chunk)
-
-    def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, _WORDS.findall(chunk)))
+        self.keys, self.nth = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.int32)
+        self.known = self.used = 0
+        #: Where a word's ids begin, and how many it has. What comes after the known words is of the slice at hand.
+        self.first, self.count, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, "<u4")
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key's word, -1 where it isn't known."""
+        out = np.full(len(keys), -1, np.int64)
+        todo, at = np.arange(len(keys)), (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        while len(todo):
+            held = self.keys[at]
+            same = held == keys[todo]
+            out[todo[same]] = self.nth[at[same]]
+            on = ~same & (held != 0)
+            todo, at = todo[on], (at[on] + 1) & (PLACES - 1)
+        return out
+
+    def _keep(self, keys: np.ndarray, nth: np.ndarray) -> None:
+        """Different keys, none of them known."""
+        at = (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] == 0)
+            own = free[np.unique(at[free], return_index=True)[1]]
+            self.keys[at[own]], self.nth[at[own]] = keys[own], nth[own]
+            on = np.ones(len(keys), bool)
+            on[own] = False
+            keys, nth, at = keys[on], nth[on], (at[on] + 1) & (PLACES - 1)
+
+    def _put(self, words: list[str]) -> None:
+        """The ids of words, after those of the known ones."""
+        own = [[t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))] for w in words]
+        count = np.array([len(x) for x in own], np.int32)
+        ids = np.array([i for x in own for i in x], "<u4")
+        n, m = self.known + len(count), self.used + len(ids)
+        if n > len(self.first):
+            self.first, self.count = (np.append(x[: self.known], np.zeros(2 * n - self.known, np.int32)) for x in (self.first, self.count))
+        if m > len(self.ids):
+            self.ids = np.append(self.ids[: self.used], np.zeros(2 * m - self.used, "<u4"))
+        self.first[self.known : n] = self.used + np.cumsum(count) - count
+        self.count[self.known : n] = count
+        self.ids[self.used : m] = ids
+
+    def _slice(self, texts: list[str]) -> list[bytes]:
+        """The ids of each of lower-case texts of characters below U+0250."""
+        text = "".join(texts)
+        data = np.frombuffer(text.encode("utf-16-le"), "<u2")
+        bounds = np.cumsum([0, *map(len, texts)])
+        starts, ends = _cut(data, bounds)
+        keys = K.span_hashes(data, starts, ends, _VALUES)
+        keys[keys == 0] = 1
+        nth = self._find(keys)
+        long = ends - starts > LONGEST
+        nth[long] = -1
+        new = np.flatnonzero(nth < 0)
+        # Long words are looked up one by one, behind the others.
+        short, far = new[~long[new]], new[long[new]]
+        different, place, inverse = np.unique(keys[short], return_index=True, return_inverse=True)
+        each = np.append(short[place], far)
+        self._put([text[a:b] for a, b in zip(starts[each].tolist(), ends[each].tolist())])
+        nth[short] = self.known + inverse
+        nth[far] = self.known + len(different) + np.arange(len(far))
+        count = self.count[nth].astype(np.int64)
+        until = np.cumsum(count)
+        ids = self.ids[np.repeat(self.first[nth] - until + count, count) + np.arange(until[-1] if len(until) else 0)]
+        if keep := min(len(different), KNOWN - self.known):
+            self._keep(different[:keep], self.known + np.arange(keep))
+            self.used += int(self.count[self.known : self.known + keep].sum())
+            self.known += keep
+        at = np.append(0, until)[K.owners(bounds, starts)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        out, low, own, size = [b""] * len(texts), [], [], 0
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if not text.isascii() and _OTHER.search(text) or "<|" in text and _SPECIAL.search(text):
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                continue
+            if low and size + len(text) > K.CHUNK_BYTES:
+                for k, ids in zip(own, self._slice(low)):
+                    out[k] = ids
+                low, own, size = [], [], 0
+            low.append(text.lower())
+            own.append(i)
+            size += len(text)
+        for k, ids in zip(own, self._slice(low) if low else []):
+            out[k] = ids
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not text.isascii() and _WHOLE.search(text) or "<|" in text and _WHOLE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        low = text.lower()
-        # No word crosses a blank, so what lies between blanks is looked up whole.
-        if _SEPARATORS.search(low):
-            return b"".join(map(self.words.__getitem__, _WORDS.findall(low)))
-        return b"".join(map(self.chunks.__getitem__, low.split()))
+        return self.encode_all([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -134,8 +225,8 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         own, nth = encoder(tokenizer_path), 0
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = own.encode(text) + end
+            for doc, ids in zip(batch["doc_id"].to_pylist(), own.encode_all(batch["text"].to_pylist())):
+                ids += end
                 for at in range(0, len(ids), 4 * capacity):
                     part = ids[at : at + 4 * capacity]
                     for column, value in zip(out, (doc, at // 4, len(part) // 4, len(ids) // 4, nth, squeeze(part))):

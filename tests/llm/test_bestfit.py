@@ -76,6 +76,18 @@ def test_dominated_fillings():
     assert bestfit.fillings([2, 3, 4], {2: 1, 3: 1, 4: 1}, 6, 6) == [(0, (4, 2))]
 
 
+def test_nodes_count_packs_and_build_only_better_ones(monkeypatch):
+    rnd = random.Random(8)
+    for _ in range(300):
+        capacity = rnd.choice([10, 37, 100])
+        histogram = {rnd.randint(1, capacity): rnd.randint(1, 9) for _ in range(rnd.randint(0, 20))}
+        assert bestfit.fitted(histogram, capacity) == size(bestfit.best_fit(histogram, capacity))
+    built, kept = [], bestfit.best_fit
+    monkeypatch.setattr(bestfit, "best_fit", lambda *a: built.append(1) or kept(*a))
+    packs = bestfit.complete({k: 3 for k in range(26, 50)}, 100, 60)
+    assert sum(n * len(lengths) for n, lengths in packs) == 72 and len(built) <= 4
+
+
 def test_each_id_lies_once_in_a_sequence(spark):
     texts = ["some words here " * 40, None, "", "x", "long text " * 3000, "été " * 2048, "a b c"] * 3
     rows = [(i % 15, t, "s", 1) for i, t in enumerate(texts)]  # ids repeat

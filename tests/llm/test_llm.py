@@ -119,6 +119,19 @@ def test_encoder_at_every_character_below_u0250():
             assert e.encode(t) == np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), repr(t)
 
 
+def test_encoder_asks_the_model_once_for_a_word_of_a_slice(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN", 3)
+    e = packing.Encoder(packing.tokenizer_path())
+    texts = ["we're 'start ''s it's'", "a b c d e f g " * 50, None, "x" * 200 + " y", "'", "s", "²3 \x85é\xa0'LL'", "b" * 64 + " " + "b" * 65] * 3
+    want = [np.array(e.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    asked, kept = [], e._put
+    monkeypatch.setattr(e, "_put", lambda words: asked.extend(words) or kept(words))
+    assert e.encode_all(texts) == want
+    assert len(set(w for w in asked if len(w) <= packing.LONGEST)) == sum(len(w) <= packing.LONGEST for w in asked)
+    assert e.known == 3
+    assert e.encode_all(texts[::-1]) == want[::-1] and [e.encode(t) for t in texts] == want
+
+
 def test_packing_is_gapless_and_whole(spark):
     texts = made_texts(3) + ["word " * 7000, "x"]
     rows = packing.packed(docs(spark, texts)).collect()
