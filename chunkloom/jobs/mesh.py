@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.jobs.base import Jobs
-from chunkloom.operators import measures as M
 from chunkloom.operators import mesh as X
 from chunkloom.operators import volumes as V
 from chunkloom.sources import adapters as A
@@ -17,12 +16,20 @@ CELL, MOST = 12.0, 25.0
 _PLACE = {"x": "({v} // 64) % 16 * 48 + {v} * 37 % 41", "y": "({v} // 64) // 16 * 48 + {v} * 53 % 43", "z": "{v} * 29 % 31"}
 
 
-def triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(face, v0, v1, v2, ax, ay, ... cz): the mesh's triangles at whole-number places."""
-    rows = A.faces(spark, sf_dir).distinct().selectExpr("(v0 * 64 + v1 % 64) * 64 + v2 % 64 as face", "v0", "v1", "v2")
+CORNERS = ("v0", "v1", "v2")
+
+
+def triangles(faces: DataFrame) -> DataFrame:
+    """(face, v0, v1, v2, ax, ay, ... cz): triangles at whole-number places."""
+    rows = faces.selectExpr("(v0 * 64 + v1 % 64) * 64 + v2 % 64 as face", *CORNERS)
     return rows.selectExpr("*", *[f"cast({_PLACE[k].format(v=f'v{i}').replace('//', 'div')} as double) as {c}{k}" for i, c in enumerate(X.CORNERS) for k in X.AXES])
 
 
+def nearest(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """The nearest triangles; of equal ones, one is found."""
+    return X.closest_triangles(points(spark, sf_dir), triangles(A.faces(spark, sf_dir)), CELL, keep)
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, px, py, pz): points within the mesh, beside it and far from it."""
     return A.boxes(spark, sf_dir).selectExpr("id", "cast(id * 131 % 1000 - 100 as double) as px", "cast(id * 2 as double) as py", "cast(y_lo % 90 - 30 as double) as pz")
@@ -65,17 +72,15 @@ near as (select id, unnest(min({{'d2': p.d2, 'face': face, 'feature': p.feature,
 @JOBS.add(_NEAR + "select id, face, feature, round(sqrt(d2), 9) as distance, round(b0, 9) as b0, round(b1, 9) as b1, round(b2, 9) as b2 from near", "boxes", "faces")
 def closest_triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest triangle of each point, with its feature and barycentric place."""
-    found = X.closest_triangles(points(spark, sf_dir), triangles(spark, sf_dir), CELL)
-    return found.select("id", "face", "feature", F.round(F.sqrt("d2"), 9).alias("distance"), *[F.round(f"b{k}", 9).alias(f"b{k}") for k in range(3)])
+    return nearest(spark, sf_dir).select("id", "face", "feature", F.round(F.sqrt("d2"), 9).alias("distance"), *[F.round(f"b{k}", 9).alias(f"b{k}") for k in range(3)])
 
 
 @JOBS.add(_NEAR + "select id as cell, round(b0 * (v0 * 37 % 101) + b1 * (v1 * 37 % 101) + b2 * (v2 * 37 % 101), 6) as value from near join mesh using (face)", "boxes", "faces")
 def nearest_surface_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of a surface at the places nearest to points."""
-    mesh = triangles(spark, sf_dir)
-    cells = X.closest_triangles(points(spark, sf_dir), mesh, CELL).withColumnRenamed("id", "cell")
-    vertices = mesh.select(F.explode(F.array("v0", "v1", "v2")).alias("vertex")).distinct().withColumn("value", (F.col("vertex") * 37 % 101).cast("double"))
-    return V.on_faces(cells, mesh.select("face", "v0", "v1", "v2"), vertices).withColumn("value", F.round("value", 6))
+    vertices = A.faces(spark, sf_dir).select(F.explode(F.array(*CORNERS)).alias("vertex")).distinct().withColumn("value", (F.col("vertex") * 37 % 101).cast("double"))
+    cells = nearest(spark, sf_dir, *CORNERS).withColumnRenamed("id", "cell")
+    return V.on_faces(cells, None, vertices).withColumn("value", F.round("value", 6))
 
 
 @JOBS.add(
@@ -91,6 +96,5 @@ select id, round(sqrt(d2), 9) as depth, rim, height <= 0 and not rim and sqrt(d2
 )
 def surface_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which points lie under the surface, near it and off its rim."""
-    own, mesh = points(spark, sf_dir), triangles(spark, sf_dir)
-    found = X.closest_triangles(own, mesh, CELL)
-    return X.sides(found, own, mesh, M.mesh_boundary(mesh), MOST).withColumn("depth", F.round("depth", 9))
+    found = nearest(spark, sf_dir, "px", "py", "pz", *CORNERS, *X.PLACED)
+    return X.sides(found, A.faces(spark, sf_dir), MOST).withColumn("depth", F.round("depth", 9))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +13,8 @@ from pyspark.sql import functions as F
 SHARES = 1000
 #: Tables of more rows are not broadcast, however small their files are.
 MANY = 100_000
+#: Bits of a table of keys.
+BITS = 1 << 26
 
 
 def shuffled(rows: DataFrame, total: int) -> DataFrame:
@@ -35,3 +41,25 @@ def hot_left_join(rows: DataFrame, keyed: DataFrame, key: str, by: str, total: i
     zero = F.least(F.col("n"), F.lit(0)).cast("long")
     found = marked.withColumn("_spread", spread).join(shuffled(keyed.withColumn("_spread", zero).drop("n"), total), [key, "_spread"], "left")
     return found.select(*rows.columns, *[F.when(F.col("_hot"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in values])
+
+
+def among(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """All rows that hold one of keys (a column of whole numbers) in any of their columns, whole numbers too, and few others, if keys are far fewer than BITS.
+
+    Keys become a table of BITS bits, whatever their number, by their remainders.
+    """
+    place = F.pmod(F.col(keys.columns[0]).cast("long"), F.lit(BITS)) + 1
+    bits = np.zeros(BITS // 8, np.uint8)
+    for r in keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).where("bucket > 0").collect():
+        own = np.frombuffer(bytes(r["bits"]), np.uint8)
+        bits[(r["bucket"] - 1) * len(own) : r["bucket"] * len(own)] = own
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = np.zeros(batch.num_rows, bool)
+            for column in batch.columns:
+                at = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) & (BITS - 1)
+                held |= (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1) & column.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(held))
+
+    return rows.mapInArrow(run, rows.schema)

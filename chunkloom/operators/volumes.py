@@ -65,9 +65,12 @@ def sharpest(voxels: DataFrame, size: int) -> DataFrame:
     return sums.where("s > 0").groupBy("ky", "kx").agg(best.alias("b")).select("ky", "kx", (-F.col("b.z")).alias("z"), F.col("b.e").alias("energy"))
 
 
-def on_faces(cells: DataFrame, faces: DataFrame, vertices: DataFrame) -> DataFrame:
-    """cells (cell, face, b0, b1, b2) with `value`, the barycentric mean of the face's vertices (vertex, value); an unknown face or vertex is an error."""
-    known = cells.join(faces, "face", "left")
+def on_faces(cells: DataFrame, faces: DataFrame | None, vertices: DataFrame) -> DataFrame:
+    """cells (cell, face, b0, b1, b2) with `value`, the barycentric mean of the face's vertices (vertex, value); an unknown face or vertex is an error.
+
+    faces: (face, v0, v1, v2), or None where cells have v0, v1 and v2 themselves.
+    """
+    known = cells if faces is None else cells.join(faces, "face", "left")
     corners = F.array(*[F.struct(F.col(f"v{i}").alias("vertex"), F.col(f"b{i}").alias("w")) for i in range(3)])
     each = known.select("cell", F.explode(corners).alias("c")).select("cell", "c.vertex", "c.w").join(vertices, "vertex", "left")
     missing = F.raise_error(F.concat(F.lit("a face or vertex is unknown for cell "), F.col("cell").cast("string"))).cast("double")
